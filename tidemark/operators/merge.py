@@ -185,21 +185,21 @@ def scd2_merge(
         now, incoming, keys, tracked, as_of, surrogate=surrogate, check_unique=check_unique, small_batch=small_batch
     )
     if surrogate:
-        step = assign_surrogates(step, surrogate, surrogate_order or keys, history)
+        start = F.lit(0)
+        if history is not None:
+            start = F.coalesce(history.agg(F.max(surrogate)).scalar(), start)
+        step = assign_surrogates(step, surrogate, surrogate_order or keys, start)
     step = step.drop(STATE)
     if history is None:
         return step
     return history.where(F.col("close_date").isNotNull()).unionByName(step)
 
 
-def assign_surrogates(step: DataFrame, surrogate: str, order_by: Sequence[str], history: DataFrame | None) -> DataFrame:
-    """Number the opened rows after the largest key ever used; other rows keep theirs."""
+def assign_surrogates(step: DataFrame, surrogate: str, order_by: Sequence[str], start: Column) -> DataFrame:
+    """Number the opened rows from ``start`` + 1 (the largest key ever used); other rows keep theirs."""
     opened = step.where(F.col(STATE) == OPENED)
     others = step.where(F.col(STATE) != OPENED)
-    start = F.lit(0).cast("bigint")
-    if history is not None:
-        start = F.coalesce(history.agg(F.max(surrogate)).scalar(), start)
-    numbered = dense_numbers(opened.drop(surrogate), order_by, surrogate, start)
+    numbered = dense_numbers(opened.drop(surrogate), order_by, surrogate, start.cast("bigint"))
     return others.unionByName(numbered.select(*step.columns))
 
 

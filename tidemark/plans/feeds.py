@@ -75,7 +75,7 @@ class Warehouse:
 
     @property
     def key_reference(self):
-        table = schemas.Staging("key_reference", schemas.ddl("name STRING, keys ARRAY<STRING>"), ("name",))
+        table = schemas.Staging("key_reference", "name STRING, keys ARRAY<STRING>", ("name",))
         return self._staging(table)
 
 
@@ -88,7 +88,7 @@ def seed_locations(wh: Warehouse, as_of, rows: DataFrame | None = None) -> dict:
     return wh.locations.merge(wh.staged_locations.read(), as_of)
 
 
-def derive_asteroids(wh: Warehouse, as_of, conflict: str = "latest") -> dict:
+def derive_asteroids(wh: Warehouse, as_of, conflict: str = "latest", batch=None) -> dict:
     """Version the descriptive attributes found in the staged approach feed."""
     attributes = merge.latest_attributes(
         wh.staged_approaches.read(),
@@ -97,7 +97,7 @@ def derive_asteroids(wh: Warehouse, as_of, conflict: str = "latest") -> dict:
         ["close_approach_date"],
         conflict,
     )
-    return wh.asteroids.merge(attributes, as_of)
+    return wh.asteroids.merge(attributes, as_of, batch)
 
 
 # --- facts --------------------------------------------------------------------
@@ -143,18 +143,30 @@ def stage_approaches(wh: Warehouse, folder, batch=None, **replay) -> dict:
 
 
 def historize_weather(wh: Warehouse, as_of, run_id=None, batch=None) -> dict:
-    facts = weather_facts(wh.staged_weather.read(), wh.locations.current(), run_id)
-    return wh.weather_daily.merge(facts, as_of, batch)
+    """Version what was staged since the last merge.
+
+    Older slices were merged before and cannot change anything, unless a location
+    got a new key since: then all staged rows are looked at again.
+    """
+    marks = {"staged": wh.staged_weather.version, "locations": wh.locations.version}
+    seen = wh.weather_daily.manifest()["marks"]
+    since = seen.get("staged", 0) if seen.get("locations") == marks["locations"] else 0
+    facts = weather_facts(wh.staged_weather.read(since), wh.locations.current(), run_id)
+    return wh.weather_daily.merge(facts, as_of, batch, marks)
 
 
 def historize_events(wh: Warehouse, as_of, run_id=None, batch=None) -> dict:
-    return wh.space_events.merge(with_lineage(wh.staged_events.read(), run_id), as_of, batch)
+    since = wh.space_events.manifest()["marks"].get("staged", 0)
+    marks = {"staged": wh.staged_events.version}
+    return wh.space_events.merge(with_lineage(wh.staged_events.read(since), run_id), as_of, batch, marks)
 
 
 def historize_approaches(wh: Warehouse, as_of, run_id=None, batch=None) -> dict:
     """Facts first, then the dimension derived from the same feed, at the same instant."""
-    counts = wh.close_approaches.merge(approach_facts(wh.staged_approaches.read(), run_id), as_of, batch)
-    derive_asteroids(wh, as_of)
+    since = wh.close_approaches.manifest()["marks"].get("staged", 0)
+    marks = {"staged": wh.staged_approaches.version}
+    counts = wh.close_approaches.merge(approach_facts(wh.staged_approaches.read(since), run_id), as_of, batch, marks)
+    derive_asteroids(wh, as_of, batch=batch)
     return counts
 
 
@@ -250,6 +262,6 @@ def run_audit(wh: Warehouse, as_of, run_id: str | None = None, docs: DataFrame |
     """Append the findings of every check; afterwards learn the keys of new document kinds."""
     failed = audit.run_checks(audit_checks(wh, as_of, run_id, docs), wh.findings.append)
     if docs is not None:
-        reference = wh.key_reference.read() if wh.key_reference.exists() else None
+        reference = wh.key_reference.read() if wh.key_reference.version else None
         wh.key_reference.upsert(audit.bootstrap_reference(docs, reference))
     return failed

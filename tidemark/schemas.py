@@ -10,30 +10,41 @@ from tidemark.functions import fixed_values as fixed
 from tidemark.operators.constraints import Rule, between, non_negative, not_null, one_of
 
 
-def ddl(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+class Declared:
+    """Columns are kept as DDL text, parsed where a session exists."""
+
+    ddl: str
+
+    @property
+    def schema(self) -> T.StructType:
+        return T.StructType.fromDDL(self.ddl)
+
+
+def hash_slice(key: str, count: int = 64) -> str:
+    return f"lpad(hex(pmod(hash({key}), {count})), 2, '0')"
 
 
 @dataclass(frozen=True)
-class Staging:
-    """Overwrite-in-place snapshot, one row per key."""
+class Staging(Declared):
+    """Overwrite-in-place snapshot, one row per key.
+
+    ``slice_by`` is a SQL expression over the key columns; a write reads and
+    rewrites only the slices its batch touches.
+    """
 
     name: str
-    schema: T.StructType
+    ddl: str
     keys: tuple[str, ...]
     rules: tuple[Rule, ...] = ()
+    slice_by: str = "'all'"
 
 
 @dataclass(frozen=True)
-class History:
-    """Close-and-insert table.
-
-    ``slice_by`` is a SQL expression over the key columns; a merge reads and
-    rewrites only the slices its batch touches.
-    """
+class History(Declared):
+    """Close-and-insert table, sliced like staging."""
 
     name: str
-    schema: T.StructType
+    ddl: str
     keys: tuple[str, ...]
     tracked: tuple[str, ...]
     rules: tuple[Rule, ...] = ()
@@ -41,9 +52,6 @@ class History:
     slice_by: str = "'all'"
     defaults: dict = field(default_factory=dict)
 
-    @property
-    def columns(self) -> list[str]:
-        return self.schema.fieldNames()
 
 
 VERSION_DDL = "open_date TIMESTAMP, close_date TIMESTAMP"
@@ -52,36 +60,39 @@ VERSION_DDL = "open_date TIMESTAMP, close_date TIMESTAMP"
 
 STAGED_WEATHER = Staging(
     "staging_weather",
-    ddl(
+    (
         "location_id INT, date DATE, temp_min DECIMAL(5,2), temp_max DECIMAL(5,2), "
         "precipitation_mm DECIMAL(6,2), wind_speed_max DECIMAL(6,2), weather_code INT, fetched_at TIMESTAMP"
     ),
     ("location_id", "date"),
     not_null("location_id", "date", "fetched_at"),
+    "date_format(date, 'yyyy-MM')",
 )
 STAGED_EVENTS = Staging(
     "staging_events",
-    ddl(
+    (
         "event_id STRING, event_type STRING, event_time TIMESTAMP, source_location STRING, "
         "speed_kms DECIMAL(8,2), kp_index DECIMAL(4,2), flare_class STRING, "
         "flare_severity_score DECIMAL(6,2), linked_event_id STRING, fetched_at TIMESTAMP"
     ),
     ("event_id",),
     not_null("event_id", "event_type", "fetched_at"),
+    hash_slice("event_id"),
 )
 STAGED_APPROACHES = Staging(
     "staging_approaches",
-    ddl(
+    (
         "asteroid_id STRING, close_approach_date DATE, name STRING, miss_distance_km DECIMAL(12,2), "
         "relative_velocity_kph DECIMAL(10,2), estimated_diameter_m_max DECIMAL(8,2), "
         "is_potentially_hazardous BOOLEAN, fetched_at TIMESTAMP"
     ),
     ("asteroid_id", "close_approach_date"),
     not_null("asteroid_id", "close_approach_date", "fetched_at"),
+    "date_format(close_approach_date, 'yyyy-MM')",
 )
 STAGED_LOCATIONS = Staging(
     "staging_locations",
-    ddl("location_id INT, name STRING, lat DECIMAL(8,5), lon DECIMAL(8,5), timezone STRING"),
+    "location_id INT, name STRING, lat DECIMAL(8,5), lon DECIMAL(8,5), timezone STRING",
     ("location_id",),
     not_null("location_id", "name", "lat", "lon"),
 )
@@ -90,7 +101,7 @@ STAGED_LOCATIONS = Staging(
 
 LOCATIONS = History(
     "locations",
-    ddl(
+    (
         "location_key BIGINT, location_id INT, name STRING, lat DECIMAL(8,5), lon DECIMAL(8,5), "
         f"timezone STRING, {VERSION_DDL}"
     ),
@@ -102,7 +113,7 @@ LOCATIONS = History(
 )
 ASTEROIDS = History(
     "asteroids",
-    ddl(
+    (
         "asteroid_key BIGINT, asteroid_id STRING, name STRING, estimated_diameter_m_max DECIMAL(8,2), "
         f"is_potentially_hazardous BOOLEAN, {VERSION_DDL}"
     ),
@@ -111,11 +122,11 @@ ASTEROIDS = History(
     not_null("asteroid_id", "name", "is_potentially_hazardous", "open_date")
     + (Rule("diameter_positive", "estimated_diameter_m_max > 0"),),
     surrogate="asteroid_key",
-    slice_by="lpad(hex(pmod(hash(asteroid_id), 64)), 2, '0')",
+    slice_by=hash_slice("asteroid_id"),
 )
 WEATHER_DAILY = History(
     "weather_daily",
-    ddl(
+    (
         "location_key BIGINT, date DATE, temp_min DECIMAL(5,2), temp_max DECIMAL(5,2), temp_range DECIMAL(5,2), "
         "precipitation_mm DECIMAL(6,2), is_rain_day BOOLEAN, wind_speed_max DECIMAL(6,2), weather_code INT, "
         f"weather_condition STRING, source_fetched_at TIMESTAMP, pipeline_run_id STRING, {VERSION_DDL}"
@@ -136,7 +147,7 @@ WEATHER_DAILY = History(
 )
 SPACE_EVENTS = History(
     "space_events",
-    ddl(
+    (
         "event_id STRING, event_type STRING, event_time TIMESTAMP, source_location STRING, "
         "speed_kms DECIMAL(8,2), kp_index DECIMAL(4,2), flare_class STRING, flare_severity_score DECIMAL(6,2), "
         f"linked_event_id STRING, source_fetched_at TIMESTAMP, pipeline_run_id STRING, {VERSION_DDL}"
@@ -154,11 +165,11 @@ SPACE_EVENTS = History(
     ),
     not_null("event_id", "event_type", "event_time", "source_fetched_at", "open_date")
     + (one_of("event_type", fixed.EVENT_TYPES), non_negative("speed_kms"), between("kp_index", 0, 9)),
-    slice_by="lpad(hex(pmod(hash(event_id), 64)), 2, '0')",
+    slice_by=hash_slice("event_id"),
 )
 CLOSE_APPROACHES = History(
     "close_approaches",
-    ddl(
+    (
         "asteroid_id STRING, close_approach_date DATE, miss_distance_km DECIMAL(12,2), "
         "relative_velocity_kph DECIMAL(10,2), source_fetched_at TIMESTAMP, pipeline_run_id STRING, "
         f"{VERSION_DDL}"
@@ -174,7 +185,7 @@ CLOSE_APPROACHES = History(
 
 CALL_LOG = Staging(
     "call_log",
-    ddl(
+    (
         "source_name STRING, called_at TIMESTAMP, response_time_ms INT, http_status_code INT, success BOOLEAN, "
         "retry_count INT, records_returned INT, rate_limit_remaining INT, pipeline_run_id STRING"
     ),
@@ -183,7 +194,7 @@ CALL_LOG = Staging(
 )
 FINDINGS = Staging(
     "audit_findings",
-    ddl(
+    (
         "check_name STRING, severity STRING, related_table STRING, description STRING, "
         "detected_at TIMESTAMP, pipeline_run_id STRING"
     ),
@@ -193,19 +204,17 @@ FINDINGS = Staging(
 
 # --- raw documents (every field optional, numbers read as text) --------------
 
-WEATHER_DOCUMENT = ddl(
+WEATHER_DOCUMENT = (
     "daily STRUCT<time: ARRAY<STRING>, temperature_2m_max: ARRAY<STRING>, temperature_2m_min: ARRAY<STRING>, "
     "precipitation_sum: ARRAY<STRING>, wind_speed_10m_max: ARRAY<STRING>, weather_code: ARRAY<STRING>>"
 )
-EVENT_DOCUMENT = T.ArrayType(
-    ddl(
-        "activityID STRING, gstID STRING, flrID STRING, startTime STRING, beginTime STRING, peakTime STRING, "
-        "sourceLocation STRING, classType STRING, "
-        "cmeAnalyses ARRAY<STRUCT<isMostAccurate: STRING, speed: STRING>>, "
-        "allKpIndex ARRAY<STRUCT<kpIndex: STRING>>, linkedEvents ARRAY<STRUCT<activityID: STRING>>"
-    )
+EVENT_DOCUMENT = (
+    "ARRAY<STRUCT<activityID: STRING, gstID: STRING, flrID: STRING, startTime: STRING, beginTime: STRING, "
+    "peakTime: STRING, sourceLocation: STRING, classType: STRING, "
+    "cmeAnalyses: ARRAY<STRUCT<isMostAccurate: STRING, speed: STRING>>, "
+    "allKpIndex: ARRAY<STRUCT<kpIndex: STRING>>, linkedEvents: ARRAY<STRUCT<activityID: STRING>>>>"
 )
-APPROACH_DOCUMENT = ddl(
+APPROACH_DOCUMENT = (
     "element_count STRING, near_earth_objects MAP<STRING, ARRAY<STRUCT<id: STRING, name: STRING, "
     "is_potentially_hazardous_asteroid: STRING, "
     "estimated_diameter: STRUCT<meters: STRUCT<estimated_diameter_max: STRING>>, "

@@ -5,9 +5,9 @@ rules have passed is ``_commits/<n>.json`` put in place; it names the folders th
 make up the table.  Old folders stay, so a lost executor or a failed batch leaves
 the last version as it was.
 
-History tables keep current and closed rows apart.  Closed rows are only ever
-appended; of the current rows, a merge reads and rewrites just the slices its
-batch touches.
+Rows lie in slices, a SQL expression over the key.  A write reads and rewrites only
+the slices its batch touches.  History tables keep current and closed rows apart;
+closed rows are only ever appended.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,134 +62,149 @@ class Folder:
 
 
 class VersionedTable:
-    """A table whose content is the newest manifest."""
+    """A table whose content is the newest manifest.
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
-        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
+    Manifest: ``version``; ``current`` and ``closed`` folders; ``marks``, numbers
+    kept with the data (stream batches applied, source versions merged, ...).
+    """
+
+    def __init__(self, spark: SparkSession, path: str, table: Staging | History):
+        self.spark, self.path, self.table = spark, path.rstrip("/"), table
+        self.schema = table.schema
+        self.slice_of = F.expr(table.slice_by)
         self.folder = Folder(spark, path)
 
     # --- manifests ---------------------------------------------------------
 
-    def versions(self) -> list[int]:
+    @property
+    def version(self) -> int:
         names = self.folder.names("_commits")
-        return [int(n.removesuffix(".json")) for n in names if n.endswith(".json") and n[0].isdigit()]
-
-    def manifest(self, version: int | None = None) -> dict:
-        known = self.versions()
-        if not known:
-            return {"version": 0, "current": {}, "closed": [], "batches": {}}
-        return json.loads(self.folder.read(f"_commits/{version or known[-1]:012d}.json"))
-
-    def publish(self, manifest: dict) -> None:
-        self.folder.publish(f"_commits/{manifest['version']:012d}.json", json.dumps(manifest))
-
-    def next_folder(self, version: int) -> str:
+        return max((int(n[:12]) for n in names if n.endswith(".json")), default=0)
+
+    def manifest(self) -> dict:
+        newest = self.version
+        if not newest:
+            return {"version": 0, "current": {}, "closed": [], "marks": {}}
+        return json.loads(self.folder.read(f"_commits/{newest:012d}.json"))
+
+    def publish(self, old: dict, current: dict, closed: Sequence[str] = (), marks: dict | None = None) -> None:
+        new = {
+            "version": old["version"] + 1,
+            "current": {**old["current"], **current},
+            "closed": [*old["closed"], *closed],
+            "marks": {**old["marks"], **(marks or {})},
+        }
+        self.folder.publish(f"_commits/{new['version']:012d}.json", json.dumps(new))
+
+    def fresh_folder(self, kind: str, version: int) -> str:
         """A folder no earlier attempt has written to."""
-        taken = {n for n in self.folder.names("") if n.startswith(f"v={version:012d}")}
-        return f"v={version:012d}-{len(taken)}"
+        stem = f"{kind}={version:012d}"
+        return f"{stem}-{sum(n.startswith(stem) for n in self.folder.names(''))}"
+
+    def slices(self, folder: str) -> dict[str, str]:
+        names = [n for n in self.folder.names(folder) if n.startswith(f"{SLICE}=")]
+        return {n.removeprefix(f"{SLICE}="): f"{folder}/{n}" for n in names}
 
     # --- reads -------------------------------------------------------------
 
-    def _load(self, folders: Sequence[str]) -> DataFrame:
+    def load(self, folders: Sequence[str]) -> DataFrame:
         if not folders:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(*[f"{self.path}/{f}" for f in folders])
 
-    def exists(self) -> bool:
-        return bool(self.versions())
-
-    def read(self) -> DataFrame:
-        """Every row: the snapshot, or current and closed versions."""
+    def read(self, since: int = 0) -> DataFrame:
+        """Every row; ``since`` leaves out slices not written after that version."""
         m = self.manifest()
-        return self._load([*m["current"].values(), *m["closed"]])
+        fresh = [f for f in m["current"].values() if int(f[2:14]) > since]
+        return self.load([*fresh, *(m["closed"] if not since else [])])
 
+    def current(self, slices: Sequence[str] | None = None) -> DataFrame:
+        """Current rows only; closed files are not listed, let alone read."""
+        found = self.manifest()["current"]
+        return self.load([f for s, f in found.items() if slices is None or s in slices])
 
-class Snapshot(VersionedTable):
-    """Staging: the whole table is replaced by each published write."""
+    def write_sliced(self, df: DataFrame, folder: str, by: Sequence[str] = (SLICE,)) -> None:
+        """Rebalancing gives whole files per slice and splits a slice that is hot."""
+        df.hint("rebalance", *by).write.partitionBy(*by).parquet(f"{self.path}/{folder}")
 
-    def __init__(self, spark: SparkSession, path: str, table: Staging):
-        super().__init__(spark, path, table.schema)
-        self.table = table
+
+class Snapshot(VersionedTable):
+    """Staging table: incoming rows replace those of the same key."""
 
     def upsert(self, incoming: DataFrame, batch: tuple[str, int] | None = None) -> dict:
-        """Rules, then replace-or-insert on the key; returns row counts."""
-        m = self.manifest()
+        """Rules, then replace-or-insert; all or nothing.  Returns what was counted.
+
+        The batch is landed first, so its documents are parsed once and the slices
+        it touches are known from its folders.
+        """
+        m, keys = self.manifest(), self.table.keys
         if already_applied(m, batch):
             return {"rows": 0}
-        rules = self.table.rules
-        checked = merge.assert_unique(incoming.select(*self.schema.fieldNames()), self.table.keys)
-        merged = merge.scd1_upsert(self._load(list(m["current"].values())) if m["current"] else None, checked, self.table.keys)
-        watched, seen = constraints.observed(merged, rules)
-        folder = self.next_folder(m["version"] + 1)
-        watched.write.parquet(f"{self.path}/{folder}")
+        rows = merge.assert_unique(incoming.select(*self.schema.fieldNames()), keys)
+        watched, seen = constraints.observed(rows, self.table.rules)
+        landed = self.fresh_folder("v", m["version"] + 1)
+        self.write_sliced(watched.withColumn(SLICE, self.slice_of), landed)
         counts = seen.get
-        constraints.raise_if_broken(counts, rules, self.table.name)
-        self.publish({**m, "version": m["version"] + 1, "current": {"all": folder}, "batches": applied(m, batch)})
+        constraints.raise_if_broken(counts, self.table.rules, self.table.name)
+        slices = self.slices(landed)
+        standing = [m["current"][s] for s in slices if s in m["current"]]
+        if standing:  # slices seen for the first time stay as they landed
+            arrived = self.load([f for s, f in slices.items() if s in m["current"]])
+            merged = merge.scd1_upsert(self.load(standing), arrived, keys)
+            folder = self.fresh_folder("v", m["version"] + 1)
+            self.write_sliced(merged.withColumn(SLICE, self.slice_of), folder)
+            slices |= self.slices(folder)
+        if slices:
+            self.publish(m, slices, marks=batch_mark(batch))
         return counts
 
 
 class HistoryTable(VersionedTable):
-    """Close-and-insert table, current rows in slices of the key."""
+    """Close-and-insert table."""
 
-    def __init__(self, spark: SparkSession, path: str, table: History):
-        super().__init__(spark, path, table.schema)
-        self.table = table
-
-    def current(self, slices: Sequence[str] | None = None) -> DataFrame:
-        """Current versions only; closed files are not listed, let alone read."""
-        found = self.manifest()["current"]
-        return self._load([f for s, f in found.items() if slices is None or s in slices])
-
-    def merge(self, incoming: DataFrame, as_of, batch: tuple[str, int] | None = None) -> dict:
-        """Close-and-insert ``incoming`` at ``as_of``; all or nothing.
+    def merge(self, incoming: DataFrame, as_of, batch: tuple[str, int] | None = None, marks: dict | None = None) -> dict:
+        """Close-and-insert ``incoming`` at ``as_of``; all or nothing.  Returns rows per state.
 
         ``incoming`` must be cheap to read again (a staged snapshot): its slices are
         listed first, at most one name per slice of the calendar or hash.
         """
         table, m = self.table, self.manifest()
+        nothing = dict.fromkeys((KEPT, CLOSED, OPENED), 0)
         if already_applied(m, batch):
-            return {KEPT: 0, CLOSED: 0, OPENED: 0}
-        slice_of = F.expr(table.slice_by)
-        touched = [r[0] for r in incoming.select(slice_of.alias(SLICE)).distinct().collect()]
+            return nothing
+        touched = [r[0] for r in incoming.select(self.slice_of.alias(SLICE)).distinct().collect()]
         if not touched:
-            return {KEPT: 0, CLOSED: 0, OPENED: 0}
-        now = self._load([m["current"][s] for s in touched if s in m["current"]]) if m["current"] else None
+            return nothing
+        standing = [m["current"][s] for s in touched if s in m["current"]]
         incoming = constraints.with_defaults(incoming, table.defaults)
-        t = at(as_of, T.TimestampType())
-        step = merge.scd2_step(now, incoming, table.keys, table.tracked, t, surrogate=table.surrogate)
+        step = merge.scd2_step(
+            self.load(standing) if standing else None,
+            incoming,
+            table.keys,
+            table.tracked,
+            at(as_of, T.TimestampType()),
+            surrogate=table.surrogate,
+        )
         if table.surrogate:
-            whole = self.read() if m["version"] else None
-            step = merge.assign_surrogates(step, table.surrogate, table.keys, whole)
+            step = merge.assign_surrogates(step, table.surrogate, table.keys, F.lit(m["marks"].get("max_key", 0)))
         step = step.select(*[F.col(f.name).cast(f.dataType) for f in table.schema.fields], STATE)
-        counts = self._write(step, slice_of, m, batch)
-        return {state: counts[state] for state in (KEPT, CLOSED, OPENED)}
 
-    def _write(self, step: DataFrame, slice_of: Column, m: dict, batch) -> dict:
-        states = [F.count_if(F.col(STATE) == s).alias(s) for s in (KEPT, CLOSED, OPENED)]
-        watched, seen = constraints.observed(step, self.table.rules, states, where=F.col(STATE) == OPENED)
-        placed = watched.withColumns(
-            {PART: F.when(F.col(STATE) == CLOSED, "closed").otherwise("current"), SLICE: slice_of}
-        ).drop(STATE)
-        version = m["version"] + 1
-        folder = self.next_folder(version)
-        # Rebalancing gives whole files per slice and splits a slice that is hot.
-        placed.hint("rebalance", PART, SLICE).write.partitionBy(PART, SLICE).parquet(f"{self.path}/{folder}")
+        extra = [F.count_if(F.col(STATE) == s).alias(s) for s in (KEPT, CLOSED, OPENED)]
+        if table.surrogate:
+            extra.append(F.max(table.surrogate).alias("max_key"))
+        watched, seen = constraints.observed(step, table.rules, extra, where=F.col(STATE) == OPENED)
+        part = F.when(F.col(STATE) == CLOSED, "closed").otherwise("current")
+        folder = self.fresh_folder("v", m["version"] + 1)
+        self.write_sliced(watched.withColumns({PART: part, SLICE: self.slice_of}).drop(STATE), folder, (PART, SLICE))
         counts = seen.get
-        constraints.raise_if_broken(counts, self.table.rules, self.table.name)
-        self.publish(
-            {
-                "version": version,
-                "current": {**m["current"], **self._slices(folder, "current")},
-                "closed": [*m["closed"], *self._slices(folder, "closed").values()],
-                "batches": applied(m, batch),
-            }
-        )
-        return counts
+        constraints.raise_if_broken(counts, table.rules, table.name)
 
-    def _slices(self, folder: str, part: str) -> dict[str, str]:
-        prefix = f"{folder}/{PART}={part}"
-        names = [n for n in self.folder.names(prefix) if n.startswith(f"{SLICE}=")]
-        return {n.removeprefix(f"{SLICE}="): f"{prefix}/{n}" for n in names}
+        notes = {**(marks or {}), **batch_mark(batch)}
+        if table.surrogate:
+            notes["max_key"] = max(counts["max_key"] or 0, m["marks"].get("max_key", 0))
+        closed = self.slices(f"{folder}/{PART}=closed").values()
+        self.publish(m, self.slices(f"{folder}/{PART}=current"), closed, notes)
+        return {state: counts[state] for state in (KEPT, CLOSED, OPENED)}
 
 
 class Log:
@@ -215,8 +230,8 @@ class Log:
 
 
 def already_applied(manifest: dict, batch: tuple[str, int] | None) -> bool:
-    return batch is not None and manifest["batches"].get(batch[0], -1) >= batch[1]
+    return batch is not None and manifest["marks"].get(f"batch:{batch[0]}", -1) >= batch[1]
 
 
-def applied(manifest: dict, batch: tuple[str, int] | None) -> dict:
-    return {**manifest["batches"], batch[0]: batch[1]} if batch else manifest["batches"]
+def batch_mark(batch: tuple[str, int] | None) -> dict:
+    return {f"batch:{batch[0]}": batch[1]} if batch else {}

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.functions.scalars import with_lineage
 from tidemark.operators import flatten
 from tidemark.plans import feeds
 from tidemark.session import checkpoint_root
@@ -20,7 +19,7 @@ def _start(docs: DataFrame, name: str, root: str, apply: Callable[[DataFrame, in
     return writer.option("checkpointLocation", f"{root}/{name}").trigger(availableNow=True).start()
 
 
-def _as_of(docs: DataFrame, batch_id: int):
+def _as_of(docs: DataFrame):
     """Merge instant of a batch: its newest fetch time (a batch replayed gets the same)."""
     return docs.agg(F.max("fetched_at")).first()[0]
 
@@ -30,7 +29,7 @@ def ingest_weather(wh: feeds.Warehouse, folder: str, checkpoint: str | None = No
 
     def apply(docs: DataFrame, batch_id: int) -> None:
         batch = ("weather", batch_id)
-        newest = _as_of(docs, batch_id)
+        newest = _as_of(docs)
         if newest is None:
             return
         wh.staged_weather.upsert(flatten.weather_rows(docs), batch)
@@ -44,11 +43,11 @@ def ingest_events(wh: feeds.Warehouse, folder: str, checkpoint: str | None = Non
 
     def apply(docs: DataFrame, batch_id: int) -> None:
         batch = ("events", batch_id)
-        newest = _as_of(docs, batch_id)
+        newest = _as_of(docs)
         if newest is None:
             return
         wh.staged_events.upsert(flatten.event_rows(docs), batch)
-        wh.space_events.merge(with_lineage(wh.staged_events.read(), None), F.lit(newest), batch)
+        feeds.historize_events(wh, F.lit(newest), batch=batch)
 
     return _start(stream_documents(wh.spark, folder, max_files), "ingest_events", checkpoint_root(wh.spark, checkpoint), apply)
 
@@ -58,7 +57,7 @@ def ingest_approaches(wh: feeds.Warehouse, folder: str, checkpoint: str | None =
 
     def apply(docs: DataFrame, batch_id: int) -> None:
         batch = ("approaches", batch_id)
-        newest = _as_of(docs, batch_id)
+        newest = _as_of(docs)
         if newest is None:
             return
         wh.staged_approaches.upsert(flatten.approach_rows(docs), batch)
