@@ -9,11 +9,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.catalogue.base import Query, scratch, shown, table
+from tidemark import schemas
+from tidemark.catalogue.base import Query, moment, scratch, shown, table
 from tidemark.functions import scalars
 from tidemark.functions.fixed_values import UNKNOWN_LABEL, WEATHER_LABELS
-from tidemark.operators import flatten
+from tidemark.operators import flatten, merge
 from tidemark.operators.dedupe import keep_last
+from tidemark.plans import dashboards
+from tidemark.plans.feeds import weather_facts
 from tidemark.sources import documents, flatfile
 
 STAMP = "date_format({0}, \"yyyyMMdd'T'HHmmss'Z'\")"
@@ -394,7 +397,68 @@ FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER B
 WHERE r = 1
 """
 
+# --- one feed end to end ---------------------------------------------------------------------
+
+
+def weather_history(spark, sf) -> DataFrame:
+    """Documents -> staged rows -> facts under their location key -> versions.
+
+    Every third location already holds a dry reading for its days, which the batch closes.
+    """
+    staged = flatten.weather_rows(weather_documents(spark, sf))
+    facts = weather_facts(staged, locations(spark, sf), "run-1")
+    earlier = facts.where("location_key % 3 = 0 AND precipitation_mm IS NOT NULL").withColumns(
+        {"precipitation_mm": F.lit(0).cast("decimal(6,2)"), "is_rain_day": F.lit(False), "pipeline_run_id": F.lit("run-0")}
+    )
+    opened = earlier.withColumns({"open_date": moment(EARLIER), "close_date": F.lit(None).cast("timestamp_ntz")})
+    table = schemas.WEATHER_DAILY
+    return merge.scd2_merge(opened, facts, table.keys, table.tracked, moment(LATER))
+
+
+EARLIER, LATER = "2024-01-01 00:00:00", "2024-02-01 00:00:00"
+
+
+def locations(spark, sf) -> DataFrame:
+    """Suppliers as locations; every tenth is no longer current."""
+    return table(spark, sf, "supplier").select(
+        F.col("s_suppkey").cast("int").alias("location_id"), (F.col("s_suppkey") + 1000).alias("location_key"), F.col("s_name").alias("name"),
+        F.expr("if(s_suppkey % 10 = 0, TIMESTAMP_NTZ'2020-01-01 00:00:00', NULL)").alias("close_date"),
+    )
+
+
+def weather_history_rows(spark, sf):
+    return shown(weather_history(spark, sf))
+
+
+def weather_to_monthly(spark, sf):
+    """From documents to the monthly precipitation report."""
+    return shown(dashboards.monthly_precipitation(weather_history(spark, sf), locations(spark, sf)))
+
+
+HISTORY_CTE = f"""
+staged AS ({PARALLEL_SQL}),
+facts AS (
+  SELECT location_id + 1000 AS location_key, date, temp_min, temp_max, temp_max - temp_min AS temp_range, precipitation_mm,
+         coalesce(precipitation_mm, 0) > 0 AS is_rain_day, wind_speed_max, weather_code,
+         CASE weather_code {" ".join(f"WHEN {code} THEN '{text}'" for code, text in WEATHER_LABELS.items())} ELSE '{UNKNOWN_LABEL}' END AS weather_condition,
+         fetched_at AS source_fetched_at
+  FROM staged WHERE location_id % 10 <> 0),
+history AS (
+  SELECT * REPLACE (0e0 AS precipitation_mm, false AS is_rain_day), 'run-0' AS pipeline_run_id, '{EARLIER}' AS open_date, '{LATER}' AS close_date
+  FROM facts WHERE location_key % 3 = 0 AND precipitation_mm IS NOT NULL
+  UNION ALL
+  SELECT *, 'run-1', '{LATER}', NULL FROM facts)
+"""
+HISTORY_SQL = f"WITH {HISTORY_CTE} SELECT * FROM history"
+TO_MONTHLY_SQL = f"""
+WITH {HISTORY_CTE}
+SELECT left(date, 7) || '-01' AS month, s_name AS location, CAST(sum(CAST(precipitation_mm AS DECIMAL(15,2))) AS DOUBLE) AS precip_mm
+FROM history JOIN supplier ON s_suppkey + 1000 = location_key WHERE close_date IS NULL GROUP BY ALL
+"""
+
 QUERIES = {
+    "weather_to_monthly": Query(weather_to_monthly, TO_MONTHLY_SQL),
+    "weather_history": Query(weather_history_rows, HISTORY_SQL),
     "flatten_parallel_arrays": Query(flatten_parallel_arrays, PARALLEL_SQL),
     "zip_arrays": Query(zip_arrays, ZIP_SQL),
     "flatten_event_list": Query(flatten_event_list, EVENT_LIST_SQL),

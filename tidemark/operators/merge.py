@@ -43,7 +43,7 @@ def assert_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's own size estimate of a plan."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def is_small_batch(df: DataFrame) -> bool:
