@@ -23,6 +23,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt_out(df: DataFrame) -> DataFrame:
+    """Rows of a scan with fewer splits than cores (one row group) shared out over the cores.
+
+    On real data there are more splits than cores, and nothing is moved.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    splits = df._jdf.queryExecution().toRdd().getNumPartitions()
+    return df.repartition(cores) if splits < cores else df
+
+
 def moment(text: str) -> Column:
     """Literal wall-clock instant, independent of the session zone."""
     return F.lit(text).cast("timestamp_ntz")

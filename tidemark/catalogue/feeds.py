@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.catalogue.base import Query, moment, scratch, shown, table
+from tidemark.catalogue.base import Query, dealt_out, moment, scratch, shown, table
 from tidemark.functions import scalars
 from tidemark.functions.fixed_values import UNKNOWN_LABEL, WEATHER_LABELS
 from tidemark.operators import flatten, merge
@@ -24,7 +24,7 @@ STAMP = "date_format({0}, \"yyyyMMdd'T'HHmmss'Z'\")"
 
 def named(df: DataFrame, file_name: str, value: str) -> DataFrame:
     """(value, file_name) plus the context of the name, from SQL expressions."""
-    return documents.name_context(df.selectExpr(f"{value} AS value", f"{file_name} AS file_name"))
+    return documents.name_context(dealt_out(df).selectExpr(f"{value} AS value", f"{file_name} AS file_name"))
 
 
 # --- parallel arrays --------------------------------------------------------------
@@ -431,8 +431,11 @@ def weather_history_rows(spark, sf):
 
 
 def weather_to_monthly(spark, sf):
-    """From documents to the monthly precipitation report."""
-    return shown(dashboards.monthly_precipitation(weather_history(spark, sf), locations(spark, sf)))
+    """Documents -> staged rows -> first versions -> monthly precipitation report."""
+    facts = weather_facts(flatten.weather_rows(weather_documents(spark, sf)), locations(spark, sf), "run-1")
+    table = schemas.WEATHER_DAILY
+    history = merge.scd2_merge(None, facts, table.keys, table.tracked, moment(LATER))
+    return shown(dashboards.monthly_precipitation(history, locations(spark, sf)))
 
 
 HISTORY_CTE = f"""

@@ -33,7 +33,9 @@ def number(value: ColumnOrName) -> Column:
     Digit separators (``1_0``) are not read.
     """
     text = column(value).cast("string")
-    return F.when(~text.rlike(r"[0-9.][dDfF]\s*$"), text.try_cast("double"))
+    parsed = text.try_cast("double")
+    suffixed = F.substring(F.rtrim(text), -1, 1).isin("d", "D", "f", "F") & (F.abs(parsed) < float("inf"))
+    return F.when(~suffixed, parsed)
 
 
 def blank_to_null(value: ColumnOrName) -> Column:
@@ -113,30 +115,24 @@ def severity_rank(value: ColumnOrName) -> Column:
     return F.when(col == "critical", 0).when(col == "warning", 1).otherwise(2)
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Select and cast to ``schema``; a value that does not fit fails the batch.
+def strict_cast(name: str, kind: T.DataType) -> Column:
+    """Cast a column, raising where a value does not fit, whatever the session's ANSI flag."""
+    source = F.col(name)
+    cast = source.try_cast(kind)
+    message = F.format_string(f"{name}: %s does not fit {kind.simpleString()}", source.cast("string"))
+    failed = source.isNotNull() & cast.isNull()
+    return F.when(failed, F.raise_error(message).cast(kind)).otherwise(cast)
 
-    The check does not lean on the session's ANSI flag.
-    """
-    out = []
-    for field in schema.fields:
-        source = df[field.name]
-        if source_type(df, field.name) == field.dataType:
-            out.append(source.alias(field.name))
-            continue
-        cast = source.try_cast(field.dataType)
-        message = F.format_string(
-            f"{field.name}: %s does not fit {field.dataType.simpleString()}", source.cast("string")
-        )
-        failed = source.isNotNull() & cast.isNull()
-        out.append(
-            F.when(failed, F.raise_error(message).cast(field.dataType)).otherwise(cast).alias(field.name)
-        )
-    return df.select(*out)
-
-
-def source_type(df: DataFrame, name: str) -> T.DataType:
-    return df.schema[name].dataType
+
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Select and cast to ``schema``; a value that does not fit fails the batch."""
+    have = {f.name: f.dataType for f in df.schema.fields}
+    return df.select(
+        *[
+            (F.col(f.name) if have[f.name] == f.dataType else strict_cast(f.name, f.dataType)).alias(f.name)
+            for f in schema.fields
+        ]
+    )
 
 
 def with_lineage(df: DataFrame, run_id: str | None, fetched: str = "fetched_at") -> DataFrame:

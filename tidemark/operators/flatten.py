@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions import fixed_values as fixed
-from tidemark.functions.scalars import blank_to_null, class_score, conform, instant, number, truthy
+from tidemark.functions.scalars import blank_to_null, class_score, conform, instant, number, strict_cast, truthy
 from tidemark.operators.dedupe import keep_last
 
 POSITION = "_position"
@@ -50,8 +50,16 @@ def weather_rows(docs: DataFrame) -> DataFrame:
     }
     rows = zip_arrays(daily, F.col("_daily.time"), arms, "date")
     measures = ("temp_min", "temp_max", "precipitation_mm", "wind_speed_max")
-    typed = rows.withColumns({m: number(m) for m in measures}).withColumn("weather_code", blank_to_null("weather_code"))
-    last = keep_last(typed, ["location_id", "date"], ["fetched_at", "file_name", POSITION])
+    keys = schemas.STAGED_WEATHER.keys
+    kinds = {f.name: f.dataType for f in schemas.STAGED_WEATHER.schema.fields}
+    typed = rows.withColumns(
+        {
+            **{k: strict_cast(k, kinds[k]) for k in keys},  # narrow sort and shuffle keys
+            **{m: number(m) for m in measures},
+            "weather_code": blank_to_null("weather_code"),
+        }
+    )
+    last = keep_last(typed, keys, ["fetched_at", "file_name", POSITION])
     return conform(last, schemas.STAGED_WEATHER.schema)
 
 

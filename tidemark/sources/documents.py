@@ -12,17 +12,20 @@ from tidemark.functions.scalars import ColumnOrName, column
 
 
 def stem(file_name: ColumnOrName) -> Column:
-    return F.regexp_replace(column(file_name), r"\.[^.]*$", "")
+    """Name without its last extension."""
+    name = column(file_name)
+    extension = F.length(F.substring_index(name, ".", -1)) + 1
+    return F.when(F.contains(name, F.lit(".")), F.left(name, F.length(name) - extension)).otherwise(name)
 
 
 def first_token(file_name: ColumnOrName) -> Column:
     """Location id or event type: what stands before the first underscore."""
-    return F.split_part(stem(file_name), F.lit("_"), F.lit(1))
+    return F.substring_index(stem(file_name), "_", 1)
 
 
 def fetched_at(file_name: ColumnOrName) -> Column:
     """Fetch instant: the last token of the name."""
-    return F.to_timestamp(F.split_part(stem(file_name), F.lit("_"), F.lit(-1)), fixed.STAMP_FORMAT)
+    return F.to_timestamp(F.substring_index(stem(file_name), "_", -1), fixed.STAMP_FORMAT)
 
 
 def window_start(file_name: ColumnOrName) -> Column:
