@@ -52,7 +52,7 @@ def shown(df: DataFrame) -> DataFrame:
     for f in df.schema.fields:
         kind = f.dataType.typeName()
         if kind == "date":
-            col = F.date_format(f.name, "yyyy-MM-dd")
+            col = F.col(f.name).cast("string")
         elif kind.startswith("timestamp"):
             col = F.date_format(f.name, "yyyy-MM-dd HH:mm:ss")
         elif kind == "decimal":

@@ -134,9 +134,8 @@ def storm_documents(spark, sf):
 
 
 def array_peak(spark, sf):
-    events = storm_documents(spark, sf).select(
-        F.explode(F.from_json("value", "ARRAY<STRUCT<gstID: STRING, allKpIndex: ARRAY<STRUCT<kpIndex: STRING>>>>")).alias("e")
-    )
+    schema = "ARRAY<STRUCT<gstID: STRING, allKpIndex: ARRAY<STRUCT<kpIndex: STRING>>>>"
+    events = flatten.parse_list(storm_documents(spark, sf), schema).select(F.explode_outer("_payload").alias("e"))
     return events.select(F.col("e.gstID").alias("event_id"), flatten.peak(F.col("e.allKpIndex"), "kpIndex").alias("kp_index"))
 
 

@@ -7,39 +7,75 @@ not blank a whole array.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions import fixed_values as fixed
-from tidemark.functions.scalars import blank_to_null, class_score, conform, instant, number, strict_cast, truthy
+from tidemark.functions.scalars import blank_to_null, class_score, conform, instant, number, truthy
 from tidemark.operators.dedupe import keep_last
 
 POSITION = "_position"
 
 
 def zip_arrays(df: DataFrame, index: Column, arms: Mapping[str, Column], index_name: str) -> DataFrame:
-    """One row per element of ``index``; arms that are short or missing give NULL."""
-    carried = [c for c in df.columns]
+    """One row per element of ``index``; arms that are short or missing give NULL.
+
+    The outer form plus a filter: the plain one infers a ``size(index) > 0`` filter
+    that is pushed below the parse and parses every document again.
+    """
+    carried = df.columns
     wide = df.select(
         *carried,
         *[arm.alias(f"_arm_{name}") for name, arm in arms.items()],
-        F.posexplode(index).alias(POSITION, index_name),
+        F.posexplode_outer(index).alias(POSITION, index_name),
     )
-    return wide.select(
+    return wide.where(F.col(POSITION).isNotNull()).select(
         *carried, POSITION, index_name, *[F.get(f"_arm_{name}", F.col(POSITION)).alias(name) for name in arms]
     )
 
 
+CORRUPT = "_corrupt"
+
+
+def parse_object(docs: DataFrame, schema: str, payload: str, others_are_empty: bool = False) -> DataFrame:
+    """Add ``_payload``: one field of a JSON object document.
+
+    A document that is not JSON, or not of this shape, fails the batch; with
+    ``others_are_empty`` a JSON document that is no object just has no payload.
+    """
+    parsed = docs.withColumn(
+        "_doc", F.from_json("value", f"{schema}, {CORRUPT} STRING", {"columnNameOfCorruptRecord": CORRUPT})
+    )
+    bad = F.col("_doc").isNull() | F.col(f"_doc.{CORRUPT}").isNotNull()
+    if others_are_empty:
+        bad = bad & (F.col("value").rlike(r"^\s*\{") | F.try_parse_json("value").isNull())
+    payload_col = F.col(f"_doc.{payload}")
+    return parsed.select(*docs.columns, F.when(bad, unreadable("value")).otherwise(payload_col).alias("_payload"))
+
+
+def unreadable(value: str) -> Column:
+    return F.raise_error(F.concat(F.lit("unreadable document: "), F.left(F.col(value), F.lit(80))))
+
+
+def parse_list(docs: DataFrame, schema: str) -> DataFrame:
+    """Add ``_payload``: the elements of a JSON list document; other JSON has none.
+
+    The first character decides, as a lone object would be read as a list of one.
+    """
+    parsed = docs.withColumn("_doc", F.from_json("value", schema))
+    is_list = F.col("value").rlike(r"^\s*\[")
+    bad = F.when(is_list, F.col("_doc").isNull()).otherwise(F.try_parse_json("value").isNull())
+    payload = F.when(bad, unreadable("value")).when(is_list, F.col("_doc"))
+    return parsed.select(*docs.columns, payload.alias("_payload"))
+
+
 def weather_rows(docs: DataFrame) -> DataFrame:
     """Parallel daily arrays -> one typed row per (location, date), last one kept."""
-    daily = docs.select(
-        F.col("first_token").alias("location_id"),
-        "fetched_at",
-        "file_name",
-        F.from_json("value", schemas.WEATHER_DOCUMENT)["daily"].alias("_daily"),
+    daily = parse_object(docs, schemas.WEATHER_DOCUMENT, "daily").select(
+        F.col("first_token").alias("location_id"), "fetched_at", "file_name", F.col("_payload").alias("_daily")
     )
     arms = {
         "temp_min": F.col("_daily.temperature_2m_min"),
@@ -50,15 +86,9 @@ def weather_rows(docs: DataFrame) -> DataFrame:
     }
     rows = zip_arrays(daily, F.col("_daily.time"), arms, "date")
     measures = ("temp_min", "temp_max", "precipitation_mm", "wind_speed_max")
+    typed = rows.withColumns({m: number(m) for m in measures} | {"weather_code": blank_to_null("weather_code")})
     keys = schemas.STAGED_WEATHER.keys
-    kinds = {f.name: f.dataType for f in schemas.STAGED_WEATHER.schema.fields}
-    typed = rows.withColumns(
-        {
-            **{k: strict_cast(k, kinds[k]) for k in keys},  # narrow sort and shuffle keys
-            **{m: number(m) for m in measures},
-            "weather_code": blank_to_null("weather_code"),
-        }
-    )
+    typed = conform(typed, schemas.STAGED_WEATHER.schema, only=keys)  # narrow sort and shuffle keys
     last = keep_last(typed, keys, ["fetched_at", "file_name", POSITION])
     return conform(last, schemas.STAGED_WEATHER.schema)
 
@@ -91,14 +121,9 @@ def event_rows(docs: DataFrame) -> DataFrame:
         F.raise_error(F.concat(F.lit("unknown event type: "), kind)).cast("boolean")
     )
     events = (
-        docs.where(known)
-        .where(F.json_array_length("value").isNotNull())
-        .select(
-            kind.alias("event_type"),
-            "fetched_at",
-            "file_name",
-            F.posexplode(F.from_json("value", schemas.EVENT_DOCUMENT)).alias(POSITION, "e"),
-        )
+        parse_list(docs.where(known), schemas.EVENT_DOCUMENT)
+        .select(kind.alias("event_type"), "fetched_at", "file_name", F.posexplode_outer("_payload").alias(POSITION, "e"))
+        .where(F.col(POSITION).isNotNull())
     )
     rows = sparse_events(events).where(F.col("event_id").isNotNull())
     last = keep_last(rows, ["event_id"], ["fetched_at", "file_name", POSITION])
@@ -135,10 +160,9 @@ def approach_rows(docs: DataFrame) -> DataFrame:
 
     Only approaches filed under their own date count.
     """
-    dated = docs.select(
-        "fetched_at",
-        "file_name",
-        F.explode(F.from_json("value", schemas.APPROACH_DOCUMENT)["near_earth_objects"]).alias("_date", "_objects"),
+    feed = parse_object(docs, schemas.APPROACH_DOCUMENT, "near_earth_objects", others_are_empty=True)
+    dated = feed.select("fetched_at", "file_name", F.explode_outer("_payload").alias("_date", "_objects")).where(
+        "_date IS NOT NULL"
     )
     objects = dated.select("fetched_at", "file_name", "_date", F.posexplode("_objects").alias("_object_no", "o"))
     passes = objects.select(
@@ -174,6 +198,3 @@ def records_returned(docs: DataFrame, source: str) -> DataFrame:
     }
     return docs.select("file_name", counts[source].alias("records_returned"))
 
-
-def columns_except(df: DataFrame, *names: str) -> Sequence[str]:
-    return [c for c in df.columns if c not in names]
