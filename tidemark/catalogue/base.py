@@ -54,7 +54,8 @@ def shown(df: DataFrame) -> DataFrame:
         if kind == "date":
             col = F.col(f.name).cast("string")
         elif kind.startswith("timestamp"):
-            col = F.date_format(f.name, "yyyy-MM-dd HH:mm:ss")
+            wall = F.col(f.name) if kind == "timestamp_ntz" else F.to_utc_timestamp(f.name, F.current_timezone())
+            col = F.date_format(wall, "yyyy-MM-dd HH:mm:ss")
         elif kind == "decimal":
             col = F.col(f.name).cast("double")
         else:

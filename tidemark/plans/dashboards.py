@@ -148,7 +148,7 @@ def most_severe_in_last_days(events: DataFrame, as_of, days: int = 7) -> DataFra
 
 
 def hourly_latency(calls: DataFrame) -> DataFrame:
-    hour = F.date_trunc("hour", "called_at").alias("ts")
+    hour = F.date_trunc("hour", "called_at").cast(calls.schema["called_at"].dataType).alias("ts")
     return calls.groupBy(hour, "source_name").agg(F.avg("response_time_ms").alias("avg_ms")).orderBy("ts", "source_name")
 
 
