@@ -216,7 +216,11 @@ def test_streams_ingest_each_file_once(warehouse, tmp_path):
     assert [(str(r.date), r.temp_max, r.close_date is None) for r in rows] == [
         ("2026-07-29", D("24.00"), False), ("2026-07-29", D("25.00"), True), ("2026-07-30", D("26.00"), True),
     ]
-    assert warehouse.weather_daily.manifest()["marks"]["batch:weather"] == 1
+    marks = warehouse.weather_daily.manifest()["marks"]
+    assert [v for k, v in marks.items() if k.startswith("batch:weather-")] == [1]
+    land(tmp_path / "w2", "2_20260731T000000Z.json", weather(["2026-07-29"], [7]))  # another folder, its own batch 0
+    ingest.ingest_weather(warehouse, str(tmp_path / "w2"), check).awaitTermination()
+    assert warehouse.weather_daily.current().count() == 3
 
     land(tmp_path / "e", f"CME_{STAMP}.json", [cme("c1", [])])
     ingest.ingest_events(warehouse, str(tmp_path / "e"), check).awaitTermination()

@@ -192,6 +192,21 @@ def test_anomaly_matches_brute_force_with_gaps_ties_and_slice_borders(spark):
     for slice_days in (10, 365):
         exact = audit.trailing_anomaly(df, ["k"], "date", "v", slice_days=slice_days)
         assert {(r.k, r.date) for r in exact.collect()} == want
-        rough = audit.trailing_anomaly(df.withColumn("v", F.col("v").cast("double")), ["k"], "date", "v", slice_days=slice_days)
-        assert {(r.k, r.date) for r in rough.collect()} == want
+        summed = audit.trailing_anomaly(df, ["k"], "date", "v", slice_days=slice_days, repeated_days=True)
+        assert {(r.k, r.date) for r in summed.collect()} == want
+        as_double = df.withColumn("v", F.col("v").cast("double"))
+        for repeated in (False, True):
+            rough = audit.trailing_anomaly(as_double, ["k"], "date", "v", slice_days=slice_days, repeated_days=repeated)
+            assert {(r.k, r.date) for r in rough.collect()} == want
     assert want
+
+
+def test_anomaly_with_many_rows_a_day_keeps_every_flagged_row(spark):
+    import datetime as dt
+
+    days = [dt.date(2024, 1, 1) + dt.timedelta(i) for i in range(10)]
+    rows = [(1, d, 10 + i % 3) for d in days for i in range(20)] + [(1, days[9], 90), (1, days[9], 90), (1, days[9], -70)]
+    df = spark.createDataFrame(rows, "k int, date date, v int")
+    flagged = audit.trailing_anomaly(df, ["k"], "date", "v", repeated_days=True)
+    assert sorted(r.v for r in flagged.collect()) == [-70, 90, 90]
+    assert sorted(r.v for r in audit.trailing_anomaly(df, ["k"], "date", "v").collect()) == [-70, 90, 90]

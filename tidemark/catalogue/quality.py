@@ -240,6 +240,26 @@ SELECT l_suppkey, strftime(date, '%Y-%m-%d') AS date, CAST(peak AS DOUBLE) AS pe
 WHERE (n - 1) * (n * x - s) * (n * x - s) > 9 * n * (n * q - s * s)
 """
 
+
+
+def trailing_anomaly_rows(spark, sf):
+    """The same over all lines of a supplier, many of them on one day."""
+    lines = table(spark, sf, "lineitem").select(
+        "l_suppkey", "l_orderkey", "l_linenumber", "l_partkey", F.col("l_shipdate").cast("date").alias("date"),
+        F.col("l_extendedprice").cast("decimal(12,2)").alias("price"),
+    )
+    return shown(audit.trailing_anomaly(lines, ["l_suppkey"], "date", "price", sigmas=2, repeated_days=True))
+
+
+ANOMALY_ROWS_SQL = """
+WITH c AS (SELECT l_suppkey, l_orderkey, l_linenumber, l_partkey, CAST(l_shipdate AS DATE) AS date, CAST(l_extendedprice AS DECIMAL(12,2)) AS price,
+                  CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * 100 AS HUGEINT) AS x FROM lineitem),
+w AS (SELECT *, count(x) OVER f AS n, CAST(sum(x) OVER f AS HUGEINT) AS s, CAST(sum(x * x) OVER f AS HUGEINT) AS q FROM c
+      WINDOW f AS (PARTITION BY l_suppkey ORDER BY date RANGE BETWEEN INTERVAL 7 DAYS PRECEDING AND INTERVAL 1 DAY PRECEDING))
+SELECT l_suppkey, l_orderkey, l_linenumber, l_partkey, strftime(date, '%Y-%m-%d') AS date, CAST(price AS DOUBLE) AS price FROM w
+WHERE (n - 1) * (n * x - s) * (n * x - s) > 4 * n * (n * q - s * s)
+"""
+
 # --- cross-table, reliability --------------------------------------------------------------------
 
 
@@ -404,6 +424,7 @@ QUERIES = {
     "absence": Query(absence, ABSENCE_SQL),
     "expected_rows": Query(expected_rows, EXPECTED_SQL),
     "trailing_anomaly": Query(trailing_anomaly, ANOMALY_SQL),
+    "trailing_anomaly_rows": Query(trailing_anomaly_rows, ANOMALY_ROWS_SQL),
     "xtable_missing": Query(xtable_missing, XTABLE_SQL),
     "rate_below_threshold": Query(rate_below_threshold, BELOW_SQL),
     "key_drift": Query(key_drift, DRIFT_SQL),

@@ -80,6 +80,7 @@ def trailing_anomaly(
     days: int = fixed.ANOMALY_DAYS,
     sigmas: int | float = fixed.ANOMALY_SIGMAS,
     slice_days: int = 365,
+    repeated_days: bool = False,
 ) -> DataFrame:
     """Rows more than ``sigmas`` sample deviations from the mean of the ``days`` days before.
 
@@ -89,33 +90,61 @@ def trailing_anomaly(
 
     A key's history is cut into slices of ``slice_days``, each with the last
     ``days`` days before it as context, so a key that holds a third of all rows is
-    spread over its years.  Decimal and integer values are compared exactly, with
-    whole numbers: |x - S/n| > k*sd  <=>  (n-1)*(n*x - S)^2 > k^2 * n*(n*Q - S^2).
+    spread over its years.  Where a key may have many rows on one day, say
+    ``repeated_days``: days are then summed up before they meet in a window, which
+    holds at most one row per day, and only days with a flagged extreme are looked
+    at row by row.
+
+    Decimal and integer values are compared exactly, with whole numbers:
+    |x - S/n| > k*sd  <=>  (n-1)*(n*x - S)^2 > k^2 * n*(n*Q - S^2).
     """
-    day = F.datediff(F.col(date_col), F.lit("1970-01-01").cast("date"))
-    own = F.floor(F.col("_day") / F.lit(slice_days)).cast("int")
-    near_end = F.pmod(F.col("_day"), F.lit(slice_days)) >= slice_days - days
     value, exact = whole_number(df.schema[value_col].dataType, F.col(value_col))
-    sliced = (
-        df.withColumn("_day", day)
-        .withColumn("_value", value)
-        .withColumn("_own", own)
-        .withColumn("_slice", F.explode(F.when(near_end, F.array("_own", F.col("_own") + 1)).otherwise(F.array("_own"))))
+    rows = df.withColumn("_day", F.datediff(F.col(date_col), F.lit("1970-01-01").cast("date"))).withColumn("_value", value)
+    if not repeated_days:
+        scored = _trailing_sums(_one_each(rows, exact), keys, days, slice_days, exact)
+        return scored.where(_outlier(F.col("_value"), sigmas, exact)).select(*df.columns)
+    per_day = rows.groupBy(*keys, "_day").agg(
+        F.count("_value").alias("_n"),
+        F.sum("_value").alias("_s"),
+        F.sum(_square(F.col("_value"), exact)).alias("_q"),
+        F.min("_value").alias("_low"),
+        F.max("_value").alias("_high"),
     )
-    frame = Window.partitionBy(*keys, "_slice").orderBy("_day").rangeBetween(-days, -1)
+    scored = _trailing_sums(per_day, keys, days, slice_days, exact)
+    suspect = scored.where(_outlier(F.col("_low"), sigmas, exact) | _outlier(F.col("_high"), sigmas, exact))
+    met = rows.join(suspect.select(*keys, "_day", "_n", "_s", "_q"), [*keys, "_day"])
+    return met.where(_outlier(F.col("_value"), sigmas, exact)).select(*df.columns)
+
+
+def _square(x: Column, exact: bool) -> Column:
+    return (x * x).cast("decimal(28,0)") if exact else x * x
+
+
+def _one_each(rows: DataFrame, exact: bool) -> DataFrame:
     x = F.col("_value")
+    return rows.withColumns({"_n": F.when(x.isNotNull(), 1).otherwise(0), "_s": x, "_q": _square(x, exact)})
+
+
+def _trailing_sums(daily: DataFrame, keys: Sequence[str], days: int, slice_days: int, exact: bool) -> DataFrame:
+    """Replace count, sum and sum of squares by those of the ``days`` days before."""
+    near_end = F.pmod(F.col("_day"), F.lit(slice_days)) >= slice_days - days
+    sliced = daily.withColumn("_own", F.floor(F.col("_day") / F.lit(slice_days)).cast("int")).withColumn(
+        "_slice", F.explode(F.when(near_end, F.array("_own", F.col("_own") + 1)).otherwise(F.array("_own")))
+    )
+    frame = Window.partitionBy(*keys, "_slice").orderBy("_day").rangeBetween(-days, -1)
+    count = F.sum("_n").over(frame)
+    sums = {"_n": count.cast("decimal(10,0)") if exact else count, "_s": F.sum("_s").over(frame), "_q": F.sum("_q").over(frame)}
+    return sliced.withColumns(sums).where(F.col("_slice") == F.col("_own"))
+
+
+def _outlier(x: Column, sigmas: int | float, exact: bool) -> Column:
+    """NULL (not flagged) where the days before held no value; never true for n = 1."""
+    n, total, squares = F.col("_n"), F.col("_s"), F.col("_q")
     if exact:
-        n = F.count(x).over(frame).cast("decimal(10,0)")
-        total = F.sum(x).over(frame)
-        squares = F.sum((x * x).cast("decimal(28,0)")).over(frame)
-        scored = sliced.withColumns({"_n": n, "_s": total, "_q": squares})
-        left = (F.col("_n") - 1) * power2(F.col("_n") * x - F.col("_s"))
-        right = F.lit(Decimal(str(sigmas)) ** 2) * (F.col("_n") * (F.col("_n") * F.col("_q") - power2(F.col("_s"))))
-        flag = left > right
-    else:
-        scored = sliced.withColumns({"_mean": F.avg(x).over(frame), "_sd": F.stddev_samp(x).over(frame)})
-        flag = F.abs(x - F.col("_mean")) > F.lit(float(sigmas)) * F.col("_sd")
-    return scored.where((F.col("_slice") == F.col("_own")) & flag).select(*df.columns)
+        left = (n - 1) * power2(n * x - total)
+        return left > F.lit(Decimal(str(sigmas)) ** 2) * (n * (n * squares - power2(total)))
+    spread = F.greatest(squares - total * total / n, F.lit(0.0)) / (n - 1)
+    return (n > 1) & (F.abs(x - total / n) > F.lit(float(sigmas)) * F.sqrt(spread))
 
 
 def power2(value: Column) -> Column:

@@ -89,15 +89,24 @@ def seed_locations(wh: Warehouse, as_of, rows: DataFrame | None = None) -> dict:
 
 
 def derive_asteroids(wh: Warehouse, as_of, conflict: str = "latest", batch=None) -> dict:
-    """Version the descriptive attributes found in the staged approach feed."""
+    """Version the descriptive attributes found in the staged approach feed.
+
+    Only asteroids staged since the last derivation can have changed; the others are
+    filtered out before anything shuffles.
+    """
+    staged, marks = wh.staged_approaches, {"staged": wh.staged_approaches.version}
+    since = wh.asteroids.manifest()["marks"].get("staged", 0)
+    feed = staged.read()
+    if since:
+        feed = feed.join(staged.read(since).select("asteroid_id").distinct(), "asteroid_id", "left_semi")
     attributes = merge.latest_attributes(
-        wh.staged_approaches.read(),
+        feed,
         ["asteroid_id"],
         ["name", "estimated_diameter_m_max", "is_potentially_hazardous"],
         ["close_approach_date"],
         conflict,
     )
-    return wh.asteroids.merge(attributes, as_of, batch)
+    return wh.asteroids.merge(attributes, as_of, batch, marks)
 
 
 # --- facts --------------------------------------------------------------------

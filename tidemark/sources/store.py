@@ -110,7 +110,9 @@ class VersionedTable:
     def load(self, folders: Sequence[str]) -> DataFrame:
         if not folders:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*[f"{self.path}/{f}" for f in folders])
+        # Folder names are not columns, and a closed folder is read with its slices.
+        reader = self.spark.read.schema(self.schema).option("recursiveFileLookup", "true")
+        return reader.parquet(*[f"{self.path}/{f}" for f in folders])
 
     def read(self, since: int = 0) -> DataFrame:
         """Every row; ``since`` leaves out slices not written after that version."""
@@ -202,7 +204,7 @@ class HistoryTable(VersionedTable):
         notes = {**(marks or {}), **batch_mark(batch)}
         if table.surrogate:
             notes["max_key"] = max(counts["max_key"] or 0, m["marks"].get("max_key", 0))
-        closed = self.slices(f"{folder}/{PART}=closed").values()
+        closed = [f"{folder}/{PART}=closed"] if counts[CLOSED] else []
         self.publish(m, self.slices(f"{folder}/{PART}=current"), closed, notes)
         return {state: counts[state] for state in (KEPT, CLOSED, OPENED)}
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -14,9 +15,16 @@ from tidemark.session import checkpoint_root
 from tidemark.sources.documents import stream_documents
 
 
-def _start(docs: DataFrame, name: str, root: str, apply: Callable[[DataFrame, int], None]) -> StreamingQuery:
-    writer = docs.writeStream.foreachBatch(apply).queryName(name)
-    return writer.option("checkpointLocation", f"{root}/{name}").trigger(availableNow=True).start()
+def _own(wh: feeds.Warehouse, folder: str) -> str:
+    """Name of one (warehouse, landing folder) pair: streams share neither progress nor batch numbers."""
+    return hashlib.sha256(f"{wh.root}\n{folder}".encode()).hexdigest()[:16]
+
+
+def _start(wh: feeds.Warehouse, folder: str, name: str, checkpoint: str | None, max_files: int | None, apply: Callable) -> StreamingQuery:
+    own = f"{name}-{_own(wh, folder)}"
+    writer = stream_documents(wh.spark, folder, max_files).writeStream.foreachBatch(apply).queryName(own)
+    location = f"{checkpoint_root(wh.spark, checkpoint)}/{own}"
+    return writer.option("checkpointLocation", location).trigger(availableNow=True).start()
 
 
 def _as_of(docs: DataFrame):
@@ -28,44 +36,42 @@ def ingest_weather(wh: feeds.Warehouse, folder: str, checkpoint: str | None = No
     """Stage and version newly landed weather documents until none are left."""
 
     def apply(docs: DataFrame, batch_id: int) -> None:
-        batch = ("weather", batch_id)
+        batch = (f"weather-{_own(wh, folder)}", batch_id)
         newest = _as_of(docs)
         if newest is None:
             return
         wh.staged_weather.upsert(flatten.weather_rows(docs), batch)
         feeds.historize_weather(wh, F.lit(newest), batch=batch)
 
-    return _start(stream_documents(wh.spark, folder, max_files), "ingest_weather", checkpoint_root(wh.spark, checkpoint), apply)
+    return _start(wh, folder, "ingest_weather", checkpoint, max_files, apply)
 
 
 def ingest_events(wh: feeds.Warehouse, folder: str, checkpoint: str | None = None, max_files: int | None = None) -> StreamingQuery:
     """Stage and version newly landed event lists until none are left."""
 
     def apply(docs: DataFrame, batch_id: int) -> None:
-        batch = ("events", batch_id)
+        batch = (f"events-{_own(wh, folder)}", batch_id)
         newest = _as_of(docs)
         if newest is None:
             return
         wh.staged_events.upsert(flatten.event_rows(docs), batch)
         feeds.historize_events(wh, F.lit(newest), batch=batch)
 
-    return _start(stream_documents(wh.spark, folder, max_files), "ingest_events", checkpoint_root(wh.spark, checkpoint), apply)
+    return _start(wh, folder, "ingest_events", checkpoint, max_files, apply)
 
 
 def ingest_approaches(wh: feeds.Warehouse, folder: str, checkpoint: str | None = None, max_files: int | None = None) -> StreamingQuery:
     """Stage and version newly landed approach feeds, then their dimension."""
 
     def apply(docs: DataFrame, batch_id: int) -> None:
-        batch = ("approaches", batch_id)
+        batch = (f"approaches-{_own(wh, folder)}", batch_id)
         newest = _as_of(docs)
         if newest is None:
             return
         wh.staged_approaches.upsert(flatten.approach_rows(docs), batch)
         feeds.historize_approaches(wh, F.lit(newest), batch=batch)
 
-    return _start(
-        stream_documents(wh.spark, folder, max_files), "ingest_approaches", checkpoint_root(wh.spark, checkpoint), apply
-    )
+    return _start(wh, folder, "ingest_approaches", checkpoint, max_files, apply)
 
 
 def running_success_rate(calls: DataFrame, late: str = "1 day", span: str = "7 days", slide: str = "1 day") -> DataFrame:
