@@ -218,6 +218,10 @@ def test_streams_ingest_each_file_once(warehouse, tmp_path):
     ]
     marks = warehouse.weather_daily.manifest()["marks"]
     assert [v for k, v in marks.items() if k.startswith("batch:weather-")] == [1]
+    land(tmp_path / "w", "1_20260701T000000Z.json", weather(["2026-07-29"], [1]))  # fetched long ago, landed last
+    ingest.ingest_weather(warehouse, str(tmp_path / "w"), check).awaitTermination()
+    versions = warehouse.weather_daily.read().where("date = '2026-07-29'").orderBy("open_date").collect()
+    assert [(r.temp_max, r.close_date is None) for r in versions] == [(D("24.00"), False), (D("25.00"), False), (D("1.00"), True)]
     land(tmp_path / "w2", "2_20260731T000000Z.json", weather(["2026-07-29"], [7]))  # another folder, its own batch 0
     ingest.ingest_weather(warehouse, str(tmp_path / "w2"), check).awaitTermination()
     assert warehouse.weather_daily.current().count() == 3

@@ -192,6 +192,7 @@ class HistoryTable(VersionedTable):
         step = step.select(*[F.col(f.name).cast(f.dataType) for f in table.schema.fields], STATE)
 
         extra = [F.count_if(F.col(STATE) == s).alias(s) for s in (KEPT, CLOSED, OPENED)]
+        extra.append(F.max(F.unix_micros("open_date")).alias("latest"))
         if table.surrogate:
             extra.append(F.max(table.surrogate).alias("max_key"))
         watched, seen = constraints.observed(step, table.rules, extra, where=F.col(STATE) == OPENED)
@@ -201,7 +202,7 @@ class HistoryTable(VersionedTable):
         counts = seen.get
         constraints.raise_if_broken(counts, table.rules, table.name)
 
-        notes = {**(marks or {}), **batch_mark(batch)}
+        notes = {**(marks or {}), **batch_mark(batch), "latest": max(counts["latest"] or 0, m["marks"].get("latest", 0))}
         if table.surrogate:
             notes["max_key"] = max(counts["max_key"] or 0, m["marks"].get("max_key", 0))
         closed = [f"{folder}/{PART}=closed"] if counts[CLOSED] else []

@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -13,6 +13,7 @@ from tidemark.operators import flatten
 from tidemark.plans import feeds
 from tidemark.session import checkpoint_root
 from tidemark.sources.documents import stream_documents
+from tidemark.sources.store import HistoryTable, already_applied
 
 
 def _own(wh: feeds.Warehouse, folder: str) -> str:
@@ -27,9 +28,23 @@ def _start(wh: feeds.Warehouse, folder: str, name: str, checkpoint: str | None,
     return writer.option("checkpointLocation", location).trigger(availableNow=True).start()
 
 
-def _as_of(docs: DataFrame):
-    """Merge instant of a batch: its newest fetch time (a batch replayed gets the same)."""
-    return docs.agg(F.max("fetched_at")).first()[0]
+def _newest(docs: DataFrame) -> int | None:
+    """Newest fetch time of a micro-batch, in microseconds; None if it is empty."""
+    return docs.agg(F.max(F.unix_micros("fetched_at"))).first()[0]
+
+
+def _instant(newest: int, batch: tuple[str, int], table: HistoryTable, *others: HistoryTable) -> Column:
+    """Merge instant of a batch: its newest fetch time, but after everything merged before.
+
+    Files that land late still count (the last load wins).  A batch that failed after
+    ``table`` was published goes on at the instant it had.
+    """
+    m = table.manifest()
+    if already_applied(m, batch):
+        micros = m["marks"]["latest"]
+    else:
+        micros = max(newest, *(t.manifest()["marks"].get("latest", 0) + 1 for t in (table, *others)))
+    return F.timestamp_micros(F.lit(micros).cast("bigint"))
 
 
 def ingest_weather(wh: feeds.Warehouse, folder: str, checkpoint: str | None = None, max_files: int | None = None) -> StreamingQuery:
@@ -37,11 +52,11 @@ def ingest_weather(wh: feeds.Warehouse, folder: str, checkpoint: str | None = No
 
     def apply(docs: DataFrame, batch_id: int) -> None:
         batch = (f"weather-{_own(wh, folder)}", batch_id)
-        newest = _as_of(docs)
+        newest = _newest(docs)
         if newest is None:
             return
         wh.staged_weather.upsert(flatten.weather_rows(docs), batch)
-        feeds.historize_weather(wh, F.lit(newest), batch=batch)
+        feeds.historize_weather(wh, _instant(newest, batch, wh.weather_daily), batch=batch)
 
     return _start(wh, folder, "ingest_weather", checkpoint, max_files, apply)
 
@@ -51,11 +66,11 @@ def ingest_events(wh: feeds.Warehouse, folder: str, checkpoint: str | None = Non
 
     def apply(docs: DataFrame, batch_id: int) -> None:
         batch = (f"events-{_own(wh, folder)}", batch_id)
-        newest = _as_of(docs)
+        newest = _newest(docs)
         if newest is None:
             return
         wh.staged_events.upsert(flatten.event_rows(docs), batch)
-        feeds.historize_events(wh, F.lit(newest), batch=batch)
+        feeds.historize_events(wh, _instant(newest, batch, wh.space_events), batch=batch)
 
     return _start(wh, folder, "ingest_events", checkpoint, max_files, apply)
 
@@ -65,11 +80,12 @@ def ingest_approaches(wh: feeds.Warehouse, folder: str, checkpoint: str | None =
 
     def apply(docs: DataFrame, batch_id: int) -> None:
         batch = (f"approaches-{_own(wh, folder)}", batch_id)
-        newest = _as_of(docs)
+        newest = _newest(docs)
         if newest is None:
             return
         wh.staged_approaches.upsert(flatten.approach_rows(docs), batch)
-        feeds.historize_approaches(wh, F.lit(newest), batch=batch)
+        as_of = _instant(newest, batch, wh.close_approaches, wh.asteroids)
+        feeds.historize_approaches(wh, as_of, batch=batch)
 
     return _start(wh, folder, "ingest_approaches", checkpoint, max_files, apply)
 
