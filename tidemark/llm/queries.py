@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, mixing, quality_rules
+from tidemark.llm import decontaminate, mixing, near_dup, quality_rules
 from tidemark.llm.base import table
 
 
@@ -85,10 +85,15 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(docs).drop("text", "lang")
 
 
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.classes(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op7_source_mixing": op7_source_mixing,
     "op9_quality_rules": op9_quality_rules,
+    "op10_near_duplicates": op10_near_duplicates,
 }
 
 SQL = {"op1_decontamination": OP1_SQL, "op7_source_mixing": OP7_SQL}
