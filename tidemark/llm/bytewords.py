@@ -48,6 +48,21 @@ def _powers(base: int, n: int) -> np.ndarray:
 _POWERS: dict[str, np.ndarray] = {}
 
 
+#: Random values of code points; those beyond the first plane share their lower half's.
+CODE_POINT = BYTE[:0]
+
+
+def code_points(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A random 64-bit value for each character, and where white space is; a space stands at both ends."""
+    global CODE_POINT
+    if not len(CODE_POINT):
+        with np.errstate(over="ignore"):
+            CODE_POINT = mix(np.arange(1 << 16, dtype=_U) + _U(1 << 20))
+            CODE_POINT[[9, 10, 11, 12, 13]] = CODE_POINT[32]
+    chars = np.frombuffer((b" " + buf.tobytes() + b" ").decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
+    return CODE_POINT[chars & 0xFFFF], (chars < 128) & SPACE[chars & 0x7F]
+
+
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """RADIX^i and RADIX^-i for i < n, kept and grown as needed."""
     have = _POWERS.get("up")
@@ -73,6 +88,12 @@ def blocks(buf: np.ndarray, size: int = BLOCK) -> Iterator[np.ndarray]:
     yield buf[start:]
 
 
+def edges(space: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs without white space; there must be white space at both ends."""
+    edge = np.diff(space.view(np.int8))
+    return np.flatnonzero(edge == -1) + 1, np.flatnonzero(edge == 1) + 1
+
+
 def spans(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the words."""
     if not len(buf):
@@ -83,17 +104,22 @@ def spans(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
 
 
-def hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span: equal bytes, equal hash."""
+def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each span of random 64-bit ``values``: equal values, equal hash."""
     if not len(starts):
         return np.zeros(0, _U)
     with np.errstate(over="ignore"):
-        up, down = powers(len(buf))
-        total = np.zeros(len(buf) + 1, _U)
-        np.cumsum(BYTE[buf] * up, out=total[1:])
+        up, down = powers(len(values))
+        total = np.zeros(len(values) + 1, _U)
+        np.cumsum(values * up, out=total[1:])
         return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(_U))
 
 
+def hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each span of bytes."""
+    return span_hashes(BYTE[buf], starts, ends)
+
+
 def word_hashes(buf: np.ndarray, lower: bool = False) -> np.ndarray:
     """Hashes of all words of a text, in order."""
     if lower:

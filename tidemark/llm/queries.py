@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, mixing, near_dup, quality_rules
-from tidemark.llm.base import table
+from tidemark.llm import decontaminate, mixing, near_dup, quality_classifier, quality_rules, toxicity
+from tidemark.llm.base import fold, table
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,6 +43,23 @@ FROM d LEFT JOIN hit USING (r) LEFT JOIN items USING (r)
 """
 
 
+def _scored(docs: DataFrame, score, threshold: float) -> DataFrame:
+    scored = docs.select("doc_id", (fold("doc_id") == 0).alias("held_out"), score.alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_classifier.learned(docs, table(spark, sf_dir, "labels"))
+    return _scored(docs, quality_classifier.score_column(docs, model), 0.3)
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.learned(docs, table(spark, sf_dir, "labels"))
+    return _scored(docs, toxicity.score_column(docs, model), 0.5)
+
+
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "position")
 
@@ -91,6 +108,8 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
+    "op4_quality_classifier": op4_quality_classifier,
+    "op6_toxicity": op6_toxicity,
     "op7_source_mixing": op7_source_mixing,
     "op9_quality_rules": op9_quality_rules,
     "op10_near_duplicates": op10_near_duplicates,
