@@ -120,12 +120,14 @@ def hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return span_hashes(BYTE[buf], starts, ends)
 
 
-def word_hashes(buf: np.ndarray, lower: bool = False) -> np.ndarray:
-    """Hashes of all words of a text, in order."""
-    if lower:
-        buf = LOWER[buf]
-    out = [hashes(b, *spans(b)) for b in blocks(buf)]
-    return out[0] if len(out) == 1 else np.concatenate(out)
+def word_hashes(buf: np.ndarray, beginnings: tuple[int, ...] = ()) -> np.ndarray:
+    """Hashes of all words of a text, in order; with ``beginnings``, rows for the first so many bytes follow."""
+    out = []
+    for block in blocks(buf):
+        starts, ends = spans(block)
+        rows = [hashes(block, starts, ends)] + [hashes(block, starts, np.minimum(ends, starts + n)) for n in beginnings]
+        out.append(np.stack(rows) if beginnings else rows[0])
+    return out[0] if len(out) == 1 else np.concatenate(out, axis=-1)
 
 
 def windows(words: np.ndarray, n: int) -> np.ndarray:

@@ -1,8 +1,8 @@
 """Supervised subword embeddings: is a document of good quality?
 
 A document is the mean of learned vectors of its hashed words and hashed character n-grams
-(n = 3 to 5, within a word with its bounds); a word that repeats the one before it counts as one
-more feature.  A softmax over the mean gives the classes.  Both are trained together by
+(n = 3 to 5, within a word with its bounds); that a word repeats the one before it is one more
+feature.  A softmax over the mean gives the classes.  Both are trained together by
 stochastic gradient descent in numpy on a bounded sample of labelled rows.  For two classes, the
 softmax of a mean of vectors is the logistic of a mean of one number per feature, so the
 executors need just one number per bucket.
@@ -24,8 +24,8 @@ _U = np.uint64
 NGRAMS = (3, 4, 5)
 BITS = 18
 BUCKETS = 1 << BITS
-#: One more feature: the word before was the same.
-REPEAT = BUCKETS
+#: One more feature, where the word before was the same; it counts as about all n-grams of a word.
+REPEAT, REPEAT_TIMES = BUCKETS, 16
 
 
 @dataclass(frozen=True)
@@ -59,7 +59,7 @@ def features(buf: np.ndarray):
         starts, ends = bytewords.edges(space)
         words = bytewords.span_hashes(values, starts, ends)
         yield _bucket(words)
-        yield np.full(int((words[1:] == words[:-1]).sum()), REPEAT, np.int32)
+        yield np.full(REPEAT_TIMES * int((words[1:] == words[:-1]).sum()), REPEAT, np.int32)
         with np.errstate(over="ignore"):
             h, inner = values, np.ones(len(values), bool)
             for n in range(2, NGRAMS[-1] + 1):

@@ -1,7 +1,8 @@
 """Convolutional classifier for toxic documents.
 
-A word's vector is the sum of two hashed vectors (two independent hashes, so that a rare word
-that meets a toxic one in one table does not in the other).  Filters over one, two and three
+A word's vector is the sum of hashed vectors: of the word under two independent hashes (a rare
+word that meets a toxic one in one table does not in the other) and of its first 4 and 6 bytes,
+which words of one family share.  Filters over one, two and three
 words, the maximum of each over the text, and a logistic output, trained in numpy on a bounded
 sample of labelled rows.  The output is calibrated for each language, which is told from the
 text by its function words.
@@ -27,6 +28,9 @@ BITS = 15
 BUCKETS = 1 << BITS
 WIDTHS = (1, 2, 3)
 PLACES = sum(WIDTHS)
+#: Bytes at the beginning of a word that have vectors of their own.
+BEGINNINGS = (4, 6)
+TABLES = 2 + len(BEGINNINGS)
 #: Words looked at together.
 CHUNK = 1 << 16
 
@@ -57,7 +61,7 @@ class Training:
 
 @dataclass(frozen=True)
 class Model:
-    tables: tuple[np.ndarray, np.ndarray]
+    tables: tuple[np.ndarray, ...]
     offsets: np.ndarray
     out: np.ndarray
     bias: float
@@ -77,11 +81,12 @@ _FUNCTION = _function_words()
 
 
 def words_of(buf: np.ndarray) -> np.ndarray:
-    return bytewords.word_hashes(_WORDS[buf])
+    """Hashes of each word and of its beginnings, one row for each of BEGINNINGS after the word's own."""
+    return bytewords.word_hashes(_WORDS[buf], beginnings=BEGINNINGS)
 
 
 def language(words: np.ndarray) -> str | None:
-    """The language with most function words among ``words``; None without any."""
+    """The language with most function words among the word hashes; None without any."""
     keys, owner, langs = _FUNCTION
     if not len(words):
         return None
@@ -93,15 +98,14 @@ def language(words: np.ndarray) -> str | None:
     return langs[int(votes.argmax())] if votes.any() else None
 
 
-def buckets(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return (words >> _U(64 - BITS)).astype(np.int64), ((words >> _U(8)) & _U(BUCKETS - 1)).astype(np.int64)
-
-
-def _padded(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets with room for the widest filter; BUCKETS is the empty word."""
-    one, two = buckets(words)
-    lack = max(0, WIDTHS[-1] - len(words))
-    return np.pad(one, (0, lack), constant_values=BUCKETS), np.pad(two, (0, lack), constant_values=BUCKETS)
+def buckets(words: np.ndarray) -> np.ndarray:
+    """Bucket of each word in each table, with room for the widest filter; BUCKETS is the empty word."""
+    out = np.full((TABLES, max(words.shape[1], WIDTHS[-1])), BUCKETS, np.int64)
+    n = words.shape[1]
+    out[0, :n] = words[0] >> _U(64 - BITS)
+    out[1, :n] = (words[0] >> _U(8)) & _U(BUCKETS - 1)
+    out[2:, :n] = words[1:] >> _U(64 - BITS)
+    return out
 
 
 class Network:
@@ -111,22 +115,22 @@ class Network:
         rng = np.random.default_rng(training.seed)
         d, f = training.size, training.filters
         self.rng, self.filters = rng, f
-        self.vectors = [np.vstack([rng.normal(0, 0.1, (BUCKETS, d)), np.zeros((1, d))]).astype(np.float32) for _ in range(2)]
+        self.vectors = [np.vstack([rng.normal(0, 0.1, (BUCKETS, d)), np.zeros((1, d))]).astype(np.float32) for _ in range(TABLES)]
         self.kernel = rng.normal(0, 0.5, (PLACES, d, f)).astype(np.float32)
         self.offsets = np.zeros(len(WIDTHS) * f, np.float32)
         self.out = np.where(np.arange(len(WIDTHS) * f) % 4 < 3, 0.3, -0.3).astype(np.float32)
         self.bias = np.float32(-1)
-        self.seen = {"v0": np.full((BUCKETS + 1, d), 1e-3, np.float32), "v1": np.full((BUCKETS + 1, d), 1e-3, np.float32), "k": np.full(self.kernel.shape, 1e-2, np.float32)}
+        self.seen = {"v": [np.full((BUCKETS + 1, d), 1e-3, np.float32) for _ in range(TABLES)], "k": np.full(self.kernel.shape, 1e-2, np.float32)}
         self.seen |= {"c": np.full(len(self.offsets), 1e-2, np.float32), "o": np.full(len(self.out), 1e-2, np.float32), "b": np.float32(1e-2)}
 
-    def pooled(self, one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def pooled(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Maximum and its place for each filter, and the word vectors."""
-        x = self.vectors[0][one] + self.vectors[1][two]
+        x = sum(v[row] for v, row in zip(self.vectors, ids))
         products = x @ self.kernel.transpose(1, 0, 2).reshape(x.shape[1], -1)
         return *_pool(products, self.filters), x
 
-    def step(self, one: np.ndarray, two: np.ndarray, label: int, rate: float) -> None:
-        top, place, x = self.pooled(one, two)
+    def step(self, ids: np.ndarray, label: int, rate: float) -> None:
+        top, place, x = self.pooled(ids)
         act = top + self.offsets
         on = act > 0
         hidden = np.where(on, act, 0.1 * act)
@@ -148,15 +152,15 @@ class Network:
                 grad_k = (x[rows] * back[cols][:, None]).T
                 self.seen["k"][at + k] += grad_k * grad_k
                 self.kernel[at + k] -= rate * grad_k / np.sqrt(self.seen["k"][at + k])
-                for name, table, ids in (("v0", self.vectors[0], one[rows]), ("v1", self.vectors[1], two[rows])):
-                    real = ids < BUCKETS
-                    ids, grad = ids[real], grad_x[real]
-                    np.add.at(self.seen[name], ids, grad * grad)
-                    np.add.at(table, ids, -rate * grad / np.sqrt(self.seen[name][ids]))
+                real = rows[ids[0, rows] < BUCKETS]
+                grad = grad_x[ids[0, rows] < BUCKETS]
+                for table, seen, row in zip(self.vectors, self.seen["v"], ids):
+                    np.add.at(seen, row[real], grad * grad)
+                    np.add.at(table, row[real], -rate * grad / np.sqrt(seen[row[real]]))
             at += width
 
-    def logit(self, one: np.ndarray, two: np.ndarray) -> float:
-        act = self.pooled(one, two)[0] + self.offsets
+    def logit(self, ids: np.ndarray) -> float:
+        act = self.pooled(ids)[0] + self.offsets
         return float(self.out @ np.where(act > 0, act, 0.1 * act) + self.bias)
 
 
@@ -196,27 +200,27 @@ def learned(docs: DataFrame, labels: DataFrame, column: str = "toxic", training:
     sample, counts = drawn(docs, labels, column, training.sample)
     total = sum(counts.values())
     prior = (counts.get(1, 0) + 1) / (total + 2)
-    words_udf = F.arrow_udf(lambda texts: pa.array([words_of(b).view(np.int64) for b in base.byte_rows(texts)], pa.list_(pa.int64())), "array<long>")
+    words_udf = F.arrow_udf(lambda texts: pa.array([words_of(b).ravel().view(np.int64) for b in base.byte_rows(texts)], pa.list_(pa.int64())), "array<long>")
     found = sample.repartition(16).select("label", words_udf(F.col("text")).alias("words")).toArrow() if min(counts.get(0, 0), counts.get(1, 0)) else None
     f = training.filters
     if found is None or not found.num_rows:
         blank = np.zeros((BUCKETS + 1, PLACES * f), np.float32)
-        return Model((blank, blank), np.zeros(len(WIDTHS) * f, np.float32), np.zeros(len(WIDTHS) * f, np.float32), float(np.log(prior / (1 - prior))), {}, prior)
+        return Model((blank,) * TABLES, np.zeros(len(WIDTHS) * f, np.float32), np.zeros(len(WIDTHS) * f, np.float32), float(np.log(prior / (1 - prior))), {}, prior)
     truth = found["label"].to_numpy()
-    texts = [x.values.to_numpy().view(_U) for x in found["words"].combine_chunks()]
-    order = sorted((k for k in range(len(texts)) if len(texts[k])), key=lambda k: (int(bytewords.mix(texts[k]).sum()), len(texts[k]), truth[k]))
+    texts = [x.values.to_numpy().view(_U).reshape(TABLES - 1, -1) for x in found["words"].combine_chunks()]
+    order = sorted((k for k in range(len(texts)) if texts[k].size), key=lambda k: (int(bytewords.mix(texts[k]).sum()), texts[k].size, truth[k]))
     texts, truth = [texts[k] for k in order], truth[order]
-    inputs = [_padded(t) for t in texts]
+    inputs = [buckets(t) for t in texts]
     fitted = [k for k in range(len(texts)) if k % training.calibration]
     network = Network(training)
     for epoch in range(training.epochs):
         rate = training.rate * (1 - 0.9 * epoch / training.epochs)
         for k in network.rng.permutation(fitted):
-            network.step(*inputs[k], int(truth[k]), rate)
+            network.step(inputs[k], int(truth[k]), rate)
     flat = network.kernel.transpose(1, 0, 2).reshape(training.size, -1)
     model = Model(tuple((v @ flat).astype(np.float32) for v in network.vectors), network.offsets, network.out, float(network.bias), {}, prior)
     held = [k for k in range(len(texts)) if not k % training.calibration] or list(range(len(texts)))
-    logits, langs = np.array([network.logit(*inputs[k]) for k in held]), np.array([language(texts[k]) or "" for k in held])
+    logits, langs = np.array([network.logit(inputs[k]) for k in held]), np.array([language(texts[k][0]) or "" for k in held])
     own = truth[held]
     # weights give the sample the shares of all labelled rows
     weights = np.where(own == 1, counts[1] / max(1, truth.sum()), counts[0] / max(1, (1 - truth).sum()))
@@ -231,18 +235,18 @@ def learned(docs: DataFrame, labels: DataFrame, column: str = "toxic", training:
 
 def score(buf: np.ndarray, model: Model) -> float:
     words = words_of(buf)
-    if not len(words):
+    if not words.size:
         return model.empty
-    one, two = _padded(words)
+    ids = buckets(words)
     f = model.tables[0].shape[1] // PLACES
     top = np.full(len(WIDTHS) * f, -np.inf, np.float32)
     step = CHUNK - WIDTHS[-1] + 1
-    for a in range(0, max(1, len(one) - WIDTHS[-1] + 1), step):
-        part = slice(a, a + CHUNK)
-        top = np.maximum(top, _pool(model.tables[0][one[part]] + model.tables[1][two[part]], f)[0])
+    for a in range(0, ids.shape[1] - WIDTHS[-1] + 1, step):
+        products = sum(t[row[a : a + CHUNK]] for t, row in zip(model.tables, ids))
+        top = np.maximum(top, _pool(products, f)[0])
     act = top + model.offsets
     logit = float(model.out @ np.where(act > 0, act, 0.1 * act) + model.bias)
-    slope, shift = model.calibration.get(language(words), model.calibration.get(None, (1.0, 0.0)))
+    slope, shift = model.calibration.get(language(words[0]), model.calibration.get(None, (1.0, 0.0)))
     return float(1 / (1 + np.exp(-np.clip(slope * logit + shift, -60, 60))))
 
 
