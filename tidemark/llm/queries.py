@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, mixing, near_dup, quality_classifier, quality_rules, toxicity
+from tidemark.llm import decontaminate, lm_scoring, mixing, near_dup, quality_classifier, quality_rules, toxicity
 from tidemark.llm.base import fold, table
 
 
@@ -97,6 +97,10 @@ FROM k
 """
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.scored(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return quality_rules.judged(docs).drop("text", "lang")
@@ -111,6 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_classifier": op4_quality_classifier,
     "op6_toxicity": op6_toxicity,
     "op7_source_mixing": op7_source_mixing,
+    "op8_lm_scoring": op8_lm_scoring,
     "op9_quality_rules": op9_quality_rules,
     "op10_near_duplicates": op10_near_duplicates,
 }
