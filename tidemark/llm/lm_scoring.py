@@ -2,9 +2,9 @@
 
 The pieces and scores of an existing vocabulary (a SentencePiece file, read where it lies) give
 each piece a prior probability.  A word is all ways to cut it into pieces: a log-space forward
-recursion over its positions sums them up to the word's marginal probability.  One round of
-expectation over all distinct training words (the same lattice, forward and backward) re-weights
-the pieces to the corpus; the pieces themselves stay as they are.
+recursion over its positions sums them up to the word's marginal probability.  Rounds of expectation over all distinct training words (the
+same lattice, forward and backward; each word once, as the lattice is for words not seen before)
+re-weight the pieces to the corpus; the pieces themselves stay as they are.
 
 Word counts of the training documents are interpolated with that marginal by absolute
 discounting, so a new word gets what the discounts leave, shared out by the lattice:
@@ -37,6 +37,7 @@ VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 #: The mark of a word's beginning in the vocabulary.
 START = "▁"
 _LOWER = bytes(bytewords.LOWER)
+_U = np.uint64
 
 
 @dataclass(frozen=True)
@@ -46,6 +47,7 @@ class Settings:
     held_out: int = 1
     #: Weight of the prior in the re-weighting, in pieces.
     prior: float = 1000.0
+    rounds: int = 3
     min_share: float = 1e-5
 
 
@@ -56,13 +58,39 @@ class Lattice:
     NONE, UNKNOWN = 0, 1
     #: Longer words are worked on one at a time.
     LONG = 40
+    SLOT_BITS = 20
+    SPREAD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
     def __init__(self, pieces: list[str], logs: np.ndarray):
-        self.ids = {p: k + 2 for k, p in enumerate(pieces)}
         self.pieces = pieces
         self.longest = max(map(len, pieces), default=1)
         self.logs = np.concatenate([[-np.inf, 0.0], logs])
         self.logs[self.UNKNOWN] = 4 * float(logs.min(initial=-10.0))  # as four bytes of the rarest kind
+        self.hashes = np.zeros(len(pieces) + 2, _U)
+        for at, same in _by_length(pieces, ""):
+            values, h = _values(same), None
+            for v in values:
+                h = _extended(h, v)
+            self.hashes[at + 2] = h
+        # a piece stands in the first table, or where that slot is taken, in the second
+        self.slots = [np.zeros(1 << self.SLOT_BITS, np.int32) for _ in self.SPREAD]
+        for k in range(2, len(self.hashes)):
+            for table, by in zip(self.slots, self.SPREAD):
+                slot = int(self.hashes[k]) * by % (1 << 64) >> (64 - self.SLOT_BITS)
+                if not table[slot]:
+                    table[slot] = k
+                    break
+            else:
+                raise ValueError("too many pieces for the tables")
+
+    def _find(self, h: np.ndarray) -> np.ndarray:
+        """Piece numbers by hash."""
+        out = np.zeros(h.shape, np.int32)
+        with np.errstate(over="ignore"):
+            for table, by in zip(self.slots, self.SPREAD):
+                k = table[(h * _U(by)) >> _U(64 - self.SLOT_BITS)]
+                np.copyto(out, k, where=self.hashes[k] == h)
+        return out
 
     @classmethod
     def read(cls, path: str) -> Lattice:
@@ -79,37 +107,37 @@ class Lattice:
         weights = counts[2:] + prior * np.exp(self.logs[2:])
         return Lattice(self.pieces, np.log(weights / weights.sum()))
 
-    def _cells(self, words: list[str]) -> tuple[np.ndarray, list[list[tuple[int, int]]]]:
-        """Piece numbers (word x cell) of words of one length, and (start, cell) of the cells that end at each place."""
-        n = len(words[0])
-        ends: list[list[tuple[int, int]]] = [[]]
-        cuts = []
+    def _cells(self, words: list[str]) -> tuple[np.ndarray, list[tuple[int, int]]]:
+        """Piece numbers (cell x word) of words of one length, and (first start, first cell) of the cells that end at each place."""
+        values, n = _values(words), len(words[0])
+        spans, cells = [], 0
         for j in range(1, n + 1):
-            ends.append([(i, len(cuts) + k) for k, i in enumerate(range(max(0, j - self.longest), j))])
-            cuts += [(i, j) for i in range(max(0, j - self.longest), j)]
-        get = self.ids.get
-        found = np.array([get(w[i:j], 0) for w in words for i, j in cuts], np.int32).reshape(len(words), len(cuts))
-        for j in range(1, n + 1):
-            single = ends[j][-1][1]
-            found[:, single] = np.maximum(found[:, single], self.UNKNOWN)
-        return found, ends
-
-    def _forward(self, scores: np.ndarray, ends) -> np.ndarray:
-        out = np.full((len(scores), len(ends)), -np.inf)
-        out[:, 0] = 0
-        for j in range(1, len(ends)):
-            first, cell = ends[j][0]
-            out[:, j] = _log_sum(out[:, first:j] + scores[:, cell : cell + j - first])
-        return out
+            spans.append((max(0, j - self.longest), cells))
+            cells += j - spans[-1][0]
+        found = np.zeros((cells, len(words)), np.int32)
+        for i in range(n):
+            h = None
+            for j in range(i + 1, min(n, i + self.longest) + 1):
+                h = _extended(h, values[j - 1])
+                first, cell = spans[j - 1]
+                found[cell + i - first] = self._find(h)
+        for j, (first, cell) in enumerate(spans, 1):
+            single = found[cell + j - 1 - first]
+            np.maximum(single, self.UNKNOWN, out=single)
+        return found, spans
 
     def _long(self, word: str) -> tuple[list[list[tuple[int, int]]], list[float]]:
         """Arcs (start, piece) by their end, and the forward logs, of one long word."""
         arcs: list[list[tuple[int, int]]] = [[]]
         out = [0.0]
-        get, logs = self.ids.get, self.logs
+        found = np.zeros((self.longest, len(word)), np.int32)  # by length and start
+        h, values = None, _values([word])[:, 0]
+        for k in range(min(self.longest, len(word))):
+            h = values if h is None else _extended(h[:-1], values[k:])
+            found[k, : len(h)] = self._find(h)
         for j in range(1, len(word) + 1):
-            here = [(i, p) for i in range(max(0, j - self.longest), j) if (p := get(word[i:j], 0) or (i == j - 1) * self.UNKNOWN)]
-            terms = [out[i] + logs[p] for i, p in here]
+            here = [(i, p) for i in range(max(0, j - self.longest), j) if (p := int(found[j - i - 1, i]) or (i == j - 1) * self.UNKNOWN)]
+            terms = [out[i] + self.logs[p] for i, p in here]
             top = max(terms)
             out.append(top + math.log(sum(math.exp(t - top) for t in terms)))
             arcs.append(here)
@@ -121,30 +149,44 @@ class Lattice:
         for at, same in _by_length(words):
             if len(same[0]) > self.LONG:
                 out[at] = [self._long(w)[1][-1] for w in same]
-            else:
-                found, ends = self._cells(same)
-                out[at] = self._forward(self.logs[found], ends)[:, -1]
+                continue
+            found, spans = self._cells(same)
+            scores = self.logs[found]
+            before = np.zeros((len(spans) + 1, len(same)))
+            for j, (first, cell) in enumerate(spans, 1):
+                before[j] = _log_sum(before[first:j] + scores[cell : cell + j - first])
+            out[at] = before[-1]
         return out
 
     def expected(self, words: list[str], counts: np.ndarray) -> np.ndarray:
-        """Expected number of each piece in the words, each taken ``counts`` times."""
+        """Expected number of each piece in the words, each taken ``counts`` times.
+
+        Forward and backward sums of probabilities; a word too unlikely for them is done in logs.
+        """
         total = np.zeros(len(self.logs))
+        chance = np.exp(self.logs)
         for at, same in _by_length(words):
             if len(same[0]) > self.LONG:
                 for k, w in zip(at, same):
                     self._add_long(w, counts[k], total)
                 continue
-            found, ends = self._cells(same)
-            scores = self.logs[found]
-            before = self._forward(scores, ends)
-            after = np.full_like(before, -np.inf)
-            after[:, -1] = 0
-            for j in range(len(ends) - 1, 0, -1):  # all pieces from j on are in ``after`` by then
-                first, cell = ends[j][0]
-                arcs = scores[:, cell : cell + j - first]
-                after[:, first:j] = np.logaddexp(after[:, first:j], arcs + after[:, j, None])
-                share = np.exp(before[:, first:j] + arcs + after[:, j, None] - before[:, -1, None]) * counts[at, None]
-                total += np.bincount(found[:, cell : cell + j - first].ravel(), share.ravel(), minlength=len(total))
+            found, spans = self._cells(same)
+            arcs = chance[found]
+            before = np.zeros((len(spans) + 1, len(same)))
+            after = np.zeros_like(before)
+            before[0], after[-1] = 1, 1
+            for j, (first, cell) in enumerate(spans, 1):
+                before[j] = (before[first:j] * arcs[cell : cell + j - first]).sum(axis=0)
+            for j in range(len(spans), 0, -1):  # all arcs from j on are in ``after`` by then
+                first, cell = spans[j - 1]
+                after[first:j] += arcs[cell : cell + j - first] * after[j]
+            lost = before[-1] < 1e-250
+            scale = np.where(lost, 0, counts[at] / np.where(lost, 1, before[-1]))
+            for j, (first, cell) in enumerate(spans, 1):
+                arcs[cell : cell + j - first] *= before[first:j] * (after[j] * scale)
+            total += np.bincount(found.ravel(), arcs.ravel(), minlength=len(total))
+            for k in np.flatnonzero(lost):
+                self._add_long(same[k], counts[at[k]], total)
         return total
 
     def _add_long(self, word: str, count: float, total: np.ndarray) -> None:
@@ -159,21 +201,34 @@ class Lattice:
                 total[p] += count * math.exp(before[i] + step - before[-1])
 
 
+def _values(words: list[str]) -> np.ndarray:
+    """A random 64-bit value for each character (place x word) of words of one length."""
+    chars = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(words), -1)
+    with np.errstate(over="ignore"):
+        return bytewords.mix(chars.T.astype(_U))
+
+
+def _extended(h: np.ndarray | None, values: np.ndarray) -> np.ndarray:
+    """Hashes of strings with one more character."""
+    with np.errstate(over="ignore"):
+        return values if h is None else h * _U(bytewords.RADIX) + values
+
+
 def _log_sum(x: np.ndarray) -> np.ndarray:
-    top = x.max(axis=1)
+    top = x.max(axis=0)
     with np.errstate(invalid="ignore", divide="ignore"):
-        return top + np.log(np.exp(x - np.where(np.isfinite(top), top, 0)[:, None]).sum(axis=1))
+        return top + np.log(np.exp(x - np.where(np.isfinite(top), top, 0)).sum(axis=0))
 
 
-def _by_length(words: list[str]):
-    """(places, marked words) of each length."""
+def _by_length(words: list[str], mark: str = START):
+    """(places, words with ``mark`` before them) of each length."""
     groups: dict[int, list[int]] = defaultdict(list)
     for k, w in enumerate(words):
         groups[len(w)].append(k)
     for places in groups.values():
         for a in range(0, len(places), 2000):
             part = places[a : a + 2000]
-            yield np.array(part), [START + words[k] for k in part]
+            yield np.array(part), [mark + words[k] for k in part]
 
 
 def _word_counts(batches):
@@ -208,7 +263,7 @@ def _expectation(shared):
         for batch in batches:
             words = [w.decode("utf-8", "replace") for w in batch.column("word").to_pylist()]
             if words:
-                total += lattice.expected(words, batch.column("n").to_numpy().astype(float))
+                total += lattice.expected(words, np.ones(len(words)))
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at])], names=["piece", "expected"])
 
@@ -290,12 +345,15 @@ def learned(docs: DataFrame, settings: Settings = Settings()) -> tuple[DataFrame
     once, twice = sums[2], sums[3]
     totals = Totals((sums[0] or 0) + ends, ends, sums[1], once / (once + 2 * twice) if once and twice else 0.5)
     lattice = Lattice.read(settings.vocabulary)
-    shared = spark.sparkContext.broadcast(lattice)
-    expected = words.filter("n > 0").mapInArrow(_expectation(shared), "piece long, expected double").groupBy("piece").agg(F.sum("expected").alias("expected"))
-    counts = np.zeros(len(lattice.logs))
-    for r in expected.collect():  # at most the vocabulary
-        counts[r.piece] = r.expected
-    fitted = spark.sparkContext.broadcast(lattice.reweighted(counts, settings.prior))
+    seen = words.filter("n > 0").select("word")
+    for _ in range(settings.rounds):
+        shared = spark.sparkContext.broadcast(lattice)
+        expected = seen.mapInArrow(_expectation(shared), "piece long, expected double").groupBy("piece").agg(F.sum("expected").alias("expected"))
+        counts = np.zeros(len(lattice.logs))
+        for r in expected.collect():  # at most the vocabulary
+            counts[r.piece] = r.expected
+        lattice = lattice.reweighted(counts, settings.prior)
+    fitted = spark.sparkContext.broadcast(lattice)
     scores = words.mapInArrow(_word_scores(fitted, totals), "word binary, n long, base double, model double")
     return base.written(scores, "word-scores"), totals
 
