@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, lm_scoring, mixing, near_dup, quality_classifier, quality_rules, toxicity
+from tidemark.llm import decontaminate, html_extract, lm_scoring, mixing, near_dup, quality_classifier, quality_rules, toxicity, url_filter
 from tidemark.llm.base import fold, table
 
 
@@ -43,6 +43,14 @@ FROM d LEFT JOIN hit USING (r) LEFT JOIN items USING (r)
 """
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judged(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict", "probability")
+
+
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extracted(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def _scored(docs: DataFrame, score, threshold: float) -> DataFrame:
     scored = docs.select("doc_id", (fold("doc_id") == 0).alias("held_out"), score.alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
@@ -112,7 +120,9 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
+    "op3_url_filter": op3_url_filter,
     "op4_quality_classifier": op4_quality_classifier,
+    "op5_html_extraction": op5_html_extraction,
     "op6_toxicity": op6_toxicity,
     "op7_source_mixing": op7_source_mixing,
     "op8_lm_scoring": op8_lm_scoring,
