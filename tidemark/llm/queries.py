@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, html_extract, lm_scoring, mixing, near_dup, quality_classifier, quality_rules, toxicity, url_filter
+from tidemark.llm import decontaminate, html_extract, licenses, lm_scoring, mixing, near_dup, quality_classifier, quality_rules, toxicity, url_filter
 from tidemark.llm.base import fold, table
 
 
@@ -43,6 +43,13 @@ FROM d LEFT JOIN hit USING (r) LEFT JOIN items USING (r)
 """
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = licenses.scanned(docs, licenses.learned(docs))
+    families = F.array_join(F.array_sort(F.array_distinct("notices.family")), ",")
+    return found.select("doc_id", "n_paragraphs", F.size("notices").cast("long").alias("n_notices"), families.alias("families"), F.array_max("notices.probability").alias("probability"))
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judged(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict", "probability")
 
@@ -120,6 +127,7 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
+    "op2_license_scan": op2_license_scan,
     "op3_url_filter": op3_url_filter,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_html_extraction": op5_html_extraction,
