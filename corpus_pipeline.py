@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import base, decontaminate, mixing, quality_rules
+from tidemark.llm import base, decontaminate, mixing, near_dup, quality_classifier, quality_rules
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -14,6 +14,17 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.kept_documents(docs)
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score under 0.3 go; the model learns from the labels of the documents it gets."""
+    model = quality_classifier.learned(docs, base.table(spark, sf_dir, "labels"))
+    return quality_classifier.kept_documents(docs, model)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays."""
+    return near_dup.one_of_each(docs)
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a passage of the benchmark go."""
     return decontaminate.decontaminated(docs, base.table(spark, sf_dir, "benchmark"))
@@ -26,6 +37,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("rules", rules),
+    ("quality", quality),
+    ("near_duplicates", near_duplicates),
     ("decontamination", decontamination),
     ("mix", mix),
 ]

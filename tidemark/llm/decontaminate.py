@@ -179,16 +179,18 @@ def cut_out(text: str | None, hits: list) -> str | None:
     return "".join(out) + text[at:]
 
 
+def _clean(shared, window: int):
+    def run(texts: pa.Array) -> pa.Array:
+        patterns = _patterns(shared, window)
+        return pa.array([not patterns.hits(b.tobytes())[1] for b in base.byte_rows(texts)], pa.bool_())
+
+    return run
+
+
 def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents without a benchmark window, with the columns they had."""
-    spark = docs.sparkSession
     clean = docs
     for items in item_blocks(benchmark):
-        shared = spark.sparkContext.broadcast((uuid.uuid4().hex, items))
-
-        def run(texts: pa.Array, shared=shared) -> pa.Array:
-            patterns = _patterns(shared, window)
-            return pa.array([not patterns.hits(b.tobytes())[1] for b in base.byte_rows(texts)], pa.bool_())
-
-        clean = clean.filter(F.arrow_udf(run, "boolean")(F.col("text")))
+        shared = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, items))
+        clean = clean.filter(F.arrow_udf(_clean(shared, window), "boolean")(F.col("text")))
     return clean
