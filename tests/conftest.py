@@ -18,6 +18,7 @@ def spark(tmp_path_factory):
             "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
             "spark.sql.warehouse.dir": str(shared / "warehouse"),
+            "spark.checkpoint.dir": str(shared / "shared"),
             "spark.driver.memory": "4g",
         },
     )

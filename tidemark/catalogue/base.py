@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import checkpoint_root
-
 
 @dataclass(frozen=True)
 class Query:
@@ -23,25 +19,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def dealt_out(df: DataFrame) -> DataFrame:
-    """Rows of a scan with fewer splits than cores (one row group) shared out over the cores.
-
-    On real data there are more splits than cores, and nothing is moved.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    splits = df._jdf.queryExecution().toRdd().getNumPartitions()
-    return df.repartition(cores) if splits < cores else df
-
-
 def moment(text: str) -> Column:
     """Literal wall-clock instant, independent of the session zone."""
     return F.lit(text).cast("timestamp_ntz")
 
 
-def money(name: str) -> Column:
-    return F.col(name).cast("decimal(15,2)")
-
-
 def double(value: Column | str) -> Column:
     return (F.col(value) if isinstance(value, str) else value).cast("double")
 
@@ -62,10 +44,3 @@ def shown(df: DataFrame) -> DataFrame:
             col = F.col(f.name)
         out.append(col.alias(f.name))
     return df.select(*out)
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the cluster's shared one (a local one only in tests)."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    root = configured or tempfile.mkdtemp(prefix="tidemark-")
-    return f"{checkpoint_root(spark, root)}/{name}-{uuid.uuid4().hex}"

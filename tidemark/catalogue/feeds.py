@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.catalogue.base import Query, dealt_out, moment, scratch, shown, table
+from tidemark.catalogue.base import Query, moment, shown, table
+from tidemark.session import fresh_folder
 from tidemark.functions import scalars
 from tidemark.functions.fixed_values import UNKNOWN_LABEL, WEATHER_LABELS
 from tidemark.operators import flatten, merge
@@ -24,7 +25,7 @@ STAMP = "date_format({0}, \"yyyyMMdd'T'HHmmss'Z'\")"
 
 def named(df: DataFrame, file_name: str, value: str) -> DataFrame:
     """(value, file_name) plus the context of the name, from SQL expressions."""
-    return documents.name_context(dealt_out(df).selectExpr(f"{value} AS value", f"{file_name} AS file_name"))
+    return documents.name_context(df.selectExpr(f"{value} AS value", f"{file_name} AS file_name"))
 
 
 # --- parallel arrays --------------------------------------------------------------
@@ -266,7 +267,7 @@ def flatfile_roundtrip(spark, sf):
         F.expr("if(p_partkey % 7 = 0, NULL, p_size)").alias("p_size"),
         F.col("p_retailprice").cast("decimal(12,2)").alias("p_retailprice"),
     )
-    path = scratch(spark, "flat")
+    path = fresh_folder(spark, "flat")
     flatfile.write_flat(df, path, df.columns)
     return shown(flatfile.read_flat(spark, path, df.schema))
 

@@ -81,13 +81,13 @@ SELECT c_custkey, c_name, c_nationkey, CAST(c_acctbal AS DOUBLE), c_mktsegment F
 
 
 def scd2_merge(spark, sf):
-    """The large-batch plan: one full outer join of current and incoming rows."""
-    return shown(merged(spark, sf, small_batch=False))
+    """One full outer join of current and incoming rows."""
+    return shown(merged(spark, sf))
 
 
 def scd2_merge_small(spark, sf):
-    """The small-batch plan: the batch is looked up, current rows do not shuffle."""
-    return shown(merged(spark, sf, small_batch=True))
+    """A batch whose keys are known to be unique: no window before the join."""
+    return shown(merged(spark, sf, check_unique=False))
 
 
 def scd2_first_load(spark, sf):
@@ -242,8 +242,7 @@ def effective_join(spark, sf):
 
 def effective_join_sliced(spark, sf):
     """The same, joined on month slices too, for keys with very many versions."""
-    horizon = table(spark, sf, "orders").agg(F.max("o_orderdate")).scalar()
-    return shown(effective(spark, sf, slice_unit="MONTH", horizon=horizon))
+    return shown(effective(spark, sf, slice_unit="MONTH"))
 
 
 EFFECTIVE_SQL = f"""

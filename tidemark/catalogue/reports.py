@@ -133,6 +133,21 @@ SELECT l_returnflag, count(*) AS lines, CAST(sum(CAST(l_extendedprice AS DECIMAL
 WHERE l_shipdate BETWEEN TIMESTAMP '1997-01-01' AND TIMESTAMP '1998-12-31' AND l_returnflag IN ('A', 'N') GROUP BY 1
 """
 
+
+
+def filtered_series(spark, sf):
+    """A view with the shared panel filter: days and places."""
+    panel = dashboards.Panel("1997-01-01", "1997-12-31", [f"Supplier#{n:09d}" for n in range(1, 8)])
+    return shown(dashboards.temperature_series(weather_like(spark, sf), places(spark, sf), panel))
+
+
+FILTERED_SERIES_SQL = """
+SELECT strftime(l_shipdate, '%Y-%m-%d') AS date, s_name AS location, l_quantity AS temp_min, l_extendedprice AS temp_max
+FROM lineitem JOIN supplier ON s_suppkey = l_suppkey WHERE l_linestatus <> 'F' AND s_suppkey % 10 <> 0
+AND CAST(l_shipdate AS DATE) BETWEEN DATE '1997-01-01' AND DATE '1997-12-31' AND s_name IN ('Supplier#000000001', 'Supplier#000000002',
+  'Supplier#000000003', 'Supplier#000000004', 'Supplier#000000005', 'Supplier#000000006', 'Supplier#000000007')
+"""
+
 # --- series, latest, top-k ---------------------------------------------------------------------
 
 
@@ -286,6 +301,7 @@ QUERIES = {
     "bucket_histogram": Query(bucket_histogram, HISTOGRAM_SQL),
     "storms_by_band": Query(storms_by_band, STORMS_SQL),
     "filtered_total": Query(filtered_total, FILTERED_SQL),
+    "filtered_series": Query(filtered_series, FILTERED_SERIES_SQL),
     "hourly_latency": Query(hourly_latency, LATENCY_SQL),
     "success_rate": Query(success_rate, rate_sql(7)),
     "success_rate_30d": Query(success_rate_30d, rate_sql(30)),

@@ -4,11 +4,9 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Mapping, Sequence
-from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.functions import fixed_values as fixed
 from tidemark.functions.scalars import at
@@ -95,69 +93,53 @@ def trailing_anomaly(
     holds at most one row per day, and only days with a flagged extreme are looked
     at row by row.
 
-    Decimal and integer values are compared exactly, with whole numbers:
-    |x - S/n| > k*sd  <=>  (n-1)*(n*x - S)^2 > k^2 * n*(n*Q - S^2).
+    All numeric types are compared in double precision.  Days carry their count,
+    mean and sum of squared deviations; in a slice they are pooled around the
+    slice's own mean, so large values and long histories neither overflow nor
+    cancel.  A difference of less than one part in 10^12 of the values counts as none.
     """
-    value, exact = whole_number(df.schema[value_col].dataType, F.col(value_col))
-    rows = df.withColumn("_day", F.datediff(F.col(date_col), F.lit("1970-01-01").cast("date"))).withColumn("_value", value)
+    rows = df.withColumn("_day", F.datediff(F.col(date_col), F.lit("1970-01-01").cast("date"))).withColumn("_value", F.col(value_col).cast("double"))
     if not repeated_days:
-        scored = _trailing_sums(_one_each(rows, exact), keys, days, slice_days, exact)
-        return scored.where(_outlier(F.col("_value"), sigmas, exact)).select(*df.columns)
+        x = F.col("_value")
+        daily = rows.withColumns({"_n": F.when(x.isNotNull(), 1).otherwise(0), "_mean": x, "_m2": F.when(x.isNotNull(), F.lit(0.0))})
+        scored = _pooled(daily, keys, days, slice_days)
+        return scored.where(_outlier(x, sigmas)).select(*df.columns)
     per_day = rows.groupBy(*keys, "_day").agg(
         F.count("_value").alias("_n"),
-        F.sum("_value").alias("_s"),
-        F.sum(_square(F.col("_value"), exact)).alias("_q"),
+        F.avg("_value").alias("_mean"),
+        (F.var_pop("_value") * F.count("_value")).alias("_m2"),
         F.min("_value").alias("_low"),
         F.max("_value").alias("_high"),
     )
-    scored = _trailing_sums(per_day, keys, days, slice_days, exact)
-    suspect = scored.where(_outlier(F.col("_low"), sigmas, exact) | _outlier(F.col("_high"), sigmas, exact))
-    met = rows.join(suspect.select(*keys, "_day", "_n", "_s", "_q"), [*keys, "_day"])
-    return met.where(_outlier(F.col("_value"), sigmas, exact)).select(*df.columns)
+    scored = _pooled(per_day, keys, days, slice_days)
+    suspect = scored.where(_outlier(F.col("_low"), sigmas) | _outlier(F.col("_high"), sigmas))
+    met = rows.join(suspect.select(*keys, "_day", "_n", "_mean", "_m2"), [*keys, "_day"])
+    return met.where(_outlier(F.col("_value"), sigmas)).select(*df.columns)
 
 
-def _square(x: Column, exact: bool) -> Column:
-    return (x * x).cast("decimal(28,0)") if exact else x * x
-
-
-def _one_each(rows: DataFrame, exact: bool) -> DataFrame:
-    x = F.col("_value")
-    return rows.withColumns({"_n": F.when(x.isNotNull(), 1).otherwise(0), "_s": x, "_q": _square(x, exact)})
-
-
-def _trailing_sums(daily: DataFrame, keys: Sequence[str], days: int, slice_days: int, exact: bool) -> DataFrame:
-    """Replace count, sum and sum of squares by those of the ``days`` days before."""
+def _pooled(daily: DataFrame, keys: Sequence[str], days: int, slice_days: int) -> DataFrame:
+    """Replace count, mean and squared deviations by those of the ``days`` days before."""
     near_end = F.pmod(F.col("_day"), F.lit(slice_days)) >= slice_days - days
     sliced = daily.withColumn("_own", F.floor(F.col("_day") / F.lit(slice_days)).cast("int")).withColumn(
         "_slice", F.explode(F.when(near_end, F.array("_own", F.col("_own") + 1)).otherwise(F.array("_own")))
     )
+    whole = Window.partitionBy(*keys, "_slice")
+    sliced = sliced.withColumn("_centre", F.coalesce(F.avg("_mean").over(whole), F.lit(0.0)))
     frame = Window.partitionBy(*keys, "_slice").orderBy("_day").rangeBetween(-days, -1)
-    count = F.sum("_n").over(frame)
-    sums = {"_n": count.cast("decimal(10,0)") if exact else count, "_s": F.sum("_s").over(frame), "_q": F.sum("_q").over(frame)}
-    return sliced.withColumns(sums).where(F.col("_slice") == F.col("_own"))
-
-
-def _outlier(x: Column, sigmas: int | float, exact: bool) -> Column:
-    """NULL (not flagged) where the days before held no value; never true for n = 1."""
-    n, total, squares = F.col("_n"), F.col("_s"), F.col("_q")
-    if exact:
-        left = (n - 1) * power2(n * x - total)
-        return left > F.lit(Decimal(str(sigmas)) ** 2) * (n * (n * squares - power2(total)))
-    spread = F.greatest(squares - total * total / n, F.lit(0.0)) / (n - 1)
-    return (n > 1) & (F.abs(x - total / n) > F.lit(float(sigmas)) * F.sqrt(spread))
-
-
-def power2(value: Column) -> Column:
-    return (value * value).cast("decimal(38,0)")
-
-
-def whole_number(kind: T.DataType, value: Column) -> tuple[Column, bool]:
-    """Value scaled to a whole number where its type is exact and narrow enough."""
-    if isinstance(kind, T.DecimalType) and kind.precision <= 14:
-        return (value * F.lit(10**kind.scale)).cast("decimal(14,0)"), True
-    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType)):
-        return value.cast("decimal(14,0)"), True
-    return value.cast("double"), False
+    off = F.col("_mean") - F.col("_centre")
+    sliced = sliced.withColumns({"_off": F.col("_n") * off, "_square": F.col("_m2") + F.col("_n") * off * off})
+    n, total, squares = (F.sum(c).over(frame) for c in ("_n", "_off", "_square"))
+    pooled = sliced.withColumns({"_count": n, "_total": total, "_squares": squares}).where(F.col("_slice") == F.col("_own"))
+    m2 = F.greatest(F.col("_squares") - F.col("_total") * F.col("_total") / F.col("_count"), F.lit(0.0))
+    mean = F.col("_centre") + F.col("_total") / F.col("_count")
+    return pooled.where(F.col("_count") > 1).withColumns({"_n": F.col("_count"), "_mean": mean, "_m2": m2})
+
+
+def _outlier(x: Column, sigmas: int | float) -> Column:
+    """NULL (not flagged) where ``x`` is."""
+    least = F.lit(1e-12) * (F.abs(x) + F.abs(F.col("_mean")))
+    spread = F.sqrt(F.col("_m2") / (F.col("_n") - 1))
+    return F.abs(x - F.col("_mean")) > F.lit(float(sigmas)) * spread + least
 
 
 # --- cross-table ------------------------------------------------------------

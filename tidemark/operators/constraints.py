@@ -86,10 +86,13 @@ def observed(df: DataFrame, rules: Sequence[Rule], extra: Sequence[Column] = (),
     return df.observe(observation, *columns), observation
 
 
+def broken(counts: dict, rules: Sequence[Rule]) -> dict:
+    return {r.name: counts[r.name] for r in rules if counts.get(r.name)}
+
+
 def raise_if_broken(counts: dict, rules: Sequence[Rule], table: str) -> None:
-    broken = {r.name: counts[r.name] for r in rules if counts.get(r.name)}
-    if broken:
-        raise ConstraintError(table, broken)
+    if found := broken(counts, rules):
+        raise ConstraintError(table, found)
 
 
 def unique_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import dates
@@ -35,30 +35,23 @@ def missing_days(entities: DataFrame, df: DataFrame, keys: Sequence[str], date_c
     return expected.join(actual, [*keys, "day"], "left_anti")
 
 
-def gaps(missing: DataFrame, keys: Sequence[str], slice_days: int = 365) -> DataFrame:
-    """Runs of consecutive missing days as (key, first_day, last_day, days).
+def gaps(entities: DataFrame, df: DataFrame, keys: Sequence[str], date_col: str, start: Column, end: Column) -> DataFrame:
+    """Runs of consecutive days in [start, end] without a row, as (key, first_day, last_day, days).
 
-    Runs are found inside slices of the calendar and then chained over slice
-    borders, so no task orders a key's whole calendar.
+    The days that are there, and the days around the span, are each followed to the
+    next one; no calendar is built.  A key's rows are made distinct days before they
+    meet, so one task holds at most the days of the span for it.
     """
-    from pyspark.sql import Window
-
-    n = F.datediff("day", F.lit("1970-01-01").cast("date"))
-    numbered = missing.withColumn("_n", n).withColumn("_slice", F.floor(F.col("_n") / F.lit(slice_days)))
-    inside = Window.partitionBy(*keys, "_slice").orderBy("_n")
-    runs = (
-        numbered.withColumn("_island", F.col("_n") - F.row_number().over(inside))
-        .groupBy(*keys, "_slice", "_island")
-        .agg(F.min("_n").alias("_from"), F.max("_n").alias("_to"))
-    )
-    chain = Window.partitionBy(*keys).orderBy("_from")
-    starts = runs.withColumn(
-        "_starts", (F.col("_from") != F.coalesce(F.lag("_to").over(chain), F.col("_from") - 2) + 1).cast("int")
-    ).withColumn("_run", F.sum("_starts").over(chain))
-    epoch = F.lit("1970-01-01").cast("date")
-    return starts.groupBy(*keys, "_run").agg(F.min("_from").alias("_from"), F.max("_to").alias("_to")).select(
+    first, last = start.cast("date"), end.cast("date")
+    borders = entities.select(*keys).distinct().withColumn("day", F.explode(F.array(F.date_sub(first, 1), F.date_add(last, 1))))
+    day = F.col(date_col).cast("date")
+    present = df.where(day.between(first, last)).select(*keys, day.alias("day")).distinct()
+    known = present.join(entities.select(*keys).distinct(), list(keys), "left_semi")
+    following = F.lead("day").over(Window.partitionBy(*keys).orderBy("day"))
+    runs = borders.unionByName(known).withColumn("_next", following).where(F.datediff("_next", "day") > 1)
+    return runs.select(
         *keys,
-        F.date_add(epoch, F.col("_from")).alias("first_day"),
-        F.date_add(epoch, F.col("_to")).alias("last_day"),
-        (F.col("_to") - F.col("_from") + 1).alias("days"),
+        F.date_add("day", 1).alias("first_day"),
+        F.date_sub("_next", 1).alias("last_day"),
+        (F.datediff("_next", "day") - 1).alias("days"),
     )

@@ -49,7 +49,8 @@ def missing_in(left: DataFrame, right: DataFrame, keys: dict[str, str] | Sequenc
     if not null_keys:
         for name in pairs:
             left = left.where(F.col(name).isNotNull())
-    probe = right.select(*[F.col(r).alias(f"_probe_{l}") for l, r in pairs.items()])
+    # distinct on the keys of the join: a hot key of the right side is one row
+    probe = right.select(*[F.col(r).alias(f"_probe_{l}") for l, r in pairs.items()]).distinct()
     condition = [F.col(l) == F.col(f"_probe_{l}") for l in pairs]
     return left.join(probe, condition, "left_anti")
 
@@ -75,22 +76,16 @@ def hashable(df: DataFrame) -> list[str]:
 
 
 def effective_join(
-    fact: DataFrame,
-    dim: DataFrame,
-    key: str,
-    fact_time: str = "open_date",
-    take: Sequence[str] | None = None,
-    slice_unit: str | None = None,
-    horizon=None,
+    fact: DataFrame, dim: DataFrame, key: str, fact_time: str = "open_date", take: Sequence[str] | None = None, slice_unit: str | None = None
 ) -> DataFrame:
     """Fact rows with the dimension version in force at ``fact_time``.
 
     The plain form is an equi join on ``key`` with the interval as a residual;
     adaptive execution splits a hot key.  Where single keys have very many
-    versions, give ``slice_unit`` ("MONTH", "YEAR"): both sides are also joined on
-    the time slice, so a fact meets only the versions of its own slice.  Versions
-    are repeated once per slice they cover, up to ``horizon`` for open ones (an
-    instant no fact lies after; later facts would find no version).
+    versions, give ``slice_unit`` ("MONTH", "YEAR"): closed versions, repeated once
+    per slice they cover, are then joined on the time slice too, so a fact meets
+    only those of its own slice.  Open versions, at most one per key in a history,
+    are joined on the key alone.
     """
     take = list(take) if take is not None else [c for c in dim.columns if c not in fact.columns]
     sided = dim.select(
@@ -99,22 +94,21 @@ def effective_join(
         F.col("close_date").alias("_dim_close"),
         *[F.col(c).alias(f"_dim_{c}") for c in take],
     )
-    on = [F.col("_fact." + key) == F.col("_dim." + key)]
-    if slice_unit:
-        if horizon is None:
-            raise ValueError("slices need a horizon for the open versions")
-        kind = dim.schema["open_date"].dataType
-        end = F.coalesce("_dim_close", F.greatest(at(horizon, kind), F.col("_dim_open")))
-        first, last = (slice_number(c, slice_unit) for c in (F.col("_dim_open"), end))
-        sided = sided.withColumn("_slice", F.explode(F.sequence(first, last)))
-        fact = fact.withColumn("_slice", slice_number(F.col(fact_time), slice_unit))
-        on.append(F.col("_fact._slice") == F.col("_dim._slice"))
+    if not slice_unit:
+        return _in_force(fact, sided, [key], fact_time, take, fact.columns)
+    first, last = (slice_number(F.col(c), slice_unit) for c in ("_dim_open", "_dim_close"))
+    closed = sided.where(F.col("_dim_close") > F.col("_dim_open")).withColumn("_slice", F.explode(F.sequence(first, last)))
+    sliced = fact.withColumn("_slice", slice_number(F.col(fact_time), slice_unit))
+    past = _in_force(sliced, closed, [key, "_slice"], fact_time, take, fact.columns)
+    return past.unionByName(_in_force(fact, sided.where(F.col("_dim_close").isNull()), [key], fact_time, take, fact.columns))
+
+
+def _in_force(fact: DataFrame, sided: DataFrame, keys: Sequence[str], fact_time: str, take: Sequence[str], kept: Sequence[str]) -> DataFrame:
     t = F.col("_fact." + fact_time)
-    on.append(t >= F.col("_dim_open"))
-    on.append((t < F.col("_dim_close")) | F.col("_dim_close").isNull())
+    on = [F.col(f"_fact.{k}") == F.col(f"_dim.{k}") for k in keys]
+    on += [t >= F.col("_dim_open"), (t < F.col("_dim_close")) | F.col("_dim_close").isNull()]
     joined = fact.alias("_fact").join(sided.alias("_dim"), on, "inner")
-    kept = [F.col(f"_fact.{c}") for c in fact.columns if c != "_slice"]
-    return joined.select(*kept, *[F.col(f"_dim._dim_{c}").alias(c) for c in take])
+    return joined.select(*[F.col(f"_fact.{c}") for c in kept], *[F.col(f"_dim._dim_{c}").alias(c) for c in take])
 
 
 def slice_number(value: Column, unit: str) -> Column:
@@ -126,19 +120,17 @@ def slice_number(value: Column, unit: str) -> Column:
 def linked(df: DataFrame, link: str, target: str, take: dict[str, str], targets: DataFrame | None = None, spread: int = 1) -> DataFrame:
     """Left lookup of the linked row (``link`` -> ``target``); unlinked rows keep NULLs.
 
-    Rows without a link are most of the data.  They get a salt of their own, so they
-    do not meet in the one task that a NULL key would send them to; ``spread`` does
-    the same for rows that share one hot link.
+    Rows without a link are most of the data.  The salt is a key of the join, and
+    theirs is a hash of the row, so they do not meet in the one task that a NULL key
+    alone would send them to; ``spread`` shares out the rows of one hot link too.
     """
     right = (targets if targets is not None else df).select(
         F.col(target).alias("_target"), *[F.col(c).alias(a) for c, a in take.items()]
     )
     row_hash = F.xxhash64(*hashable(df))
-    hot = F.pmod(row_hash, F.lit(spread)) if spread > 1 else F.lit(0).cast("bigint")
-    left = df.withColumn("_salt", F.when(F.col(link).isNull(), row_hash).otherwise(hot))
-    if spread > 1:
-        right = right.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(spread - 1).cast("bigint"))))
-    else:
-        right = right.withColumn("_copy", F.lit(0).cast("bigint"))
+    left = df.withColumn("_salt", F.when(F.col(link).isNull(), row_hash).otherwise(F.pmod(row_hash, F.lit(spread))))
+    # a column, not a literal, also for one copy: a literal would be folded out of the keys
+    last = F.when(F.col("_target").isNotNull(), spread - 1).cast("bigint")
+    right = right.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
     joined = left.join(right, (F.col(link) == F.col("_target")) & (F.col("_salt") == F.col("_copy")), "left")
     return joined.drop("_salt", "_target", "_copy")

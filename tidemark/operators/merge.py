@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 from tidemark.functions.scalars import at
 from tidemark.operators.dedupe import keep_first
 from tidemark.operators.joins import current
+from tidemark.session import written
 
 STATE = "_state"
 KEPT, CLOSED, OPENED = "kept", "closed", "opened"
@@ -32,8 +34,9 @@ def differs(old: Sequence[Column], new: Sequence[Column]) -> Column:
 def assert_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Fail on the second row of a key.
 
-    The window needs the partitioning and order of the merge join that follows, so
-    it costs no shuffle of its own, and it stops at the second row of a hot key.
+    The window needs the partitioning and order of a merge join on the same keys, so
+    before one it costs no shuffle of its own.  Rows of a repeated key meet in one
+    task before it fails.
     """
     order = Window.partitionBy(*keys).orderBy(*keys)
     message = F.concat(F.lit("duplicate key in batch: "), F.to_json(F.struct(*keys)))
@@ -41,19 +44,6 @@ def assert_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.withColumn("_nth", F.row_number().over(order)).where(checked).drop("_nth")
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's own size estimate of a plan."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def is_small_batch(df: DataFrame) -> bool:
-    """True where Spark itself would broadcast ``df`` (estimate within its threshold)."""
-    limit = df.sparkSession.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
-        df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760b")
-    )
-    return 0 < estimated_bytes(df) <= limit
-
-
 def scd2_step(
     current_rows: DataFrame | None,
     incoming: DataFrame,
@@ -63,17 +53,14 @@ def scd2_step(
     *,
     surrogate: str | None = None,
     check_unique: bool = True,
-    small_batch: bool | None = None,
 ) -> DataFrame:
     """One merge over the current versions: every row that is current or just closed.
 
     ``_state`` says what happened: ``kept`` (unchanged, or absent from the batch),
     ``closed`` at ``as_of``, or ``opened`` at ``as_of``.  Closed history is not an
-    input: it never changes and never shuffles.
-
-    Two plans give the same rows.  A batch Spark would broadcast is looked up from
-    the current rows without shuffling them; a larger one meets them in one full
-    outer join on the key.
+    input: it never changes and never shuffles.  Current and incoming rows meet in
+    one full outer join on the key.  ``check_unique=False`` is for a batch whose
+    keys are known to be unique, such as a staged snapshot.
     """
     if check_unique:
         incoming = assert_unique(incoming, keys)
@@ -88,10 +75,7 @@ def scd2_step(
     ]
     incoming = incoming.select(*cast)
     t = at(as_of, kind)
-    if small_batch is None:
-        small_batch = is_small_batch(incoming)
-    merge = _merge_small if small_batch else _merge_outer
-    return merge(current_rows, incoming, list(keys), list(tracked), t, surrogate).select(*columns, STATE)
+    return _merge_outer(current_rows, incoming, list(keys), list(tracked), t, surrogate).select(*columns, STATE)
 
 
 def open_rows(incoming: DataFrame, t: Column, surrogate: str | None) -> DataFrame:
@@ -145,28 +129,6 @@ def _merge_outer(current_rows, incoming, keys, tracked, t, surrogate) -> DataFra
     return both.select(F.inline(rows))
 
 
-def _merge_small(current_rows, incoming, keys, tracked, t, surrogate) -> DataFrame:
-    kind = current_rows.schema["open_date"].dataType
-    columns = current_rows.columns
-    probe = incoming.select(
-        *keys, F.struct(*[F.col(c).alias(c) for c in tracked]).alias("_new"), F.lit(True).alias("_hit")
-    )
-    matched = current_rows.join(probe, keys, "left")
-    changed = F.col("_hit").isNotNull() & differs([F.col(c) for c in tracked], [F.col(f"_new.{c}") for c in tracked])
-    touched = matched.withColumn(STATE, F.when(changed, F.lit(CLOSED)).otherwise(F.lit(KEPT)))
-    closing = F.when(F.col(STATE) == CLOSED, _closing_time(F.col("open_date"), t, kind)).otherwise(F.col("close_date"))
-    touched = touched.withColumn("close_date", closing).select(*columns, STATE)
-
-    narrow = current_rows.select(*keys, F.struct(*[F.col(c).alias(c) for c in tracked]).alias("_old"))
-    same = (
-        narrow.join(probe, keys, "inner")
-        .where(~differs([F.col(f"_old.{c}") for c in tracked], [F.col(f"_new.{c}") for c in tracked]))
-        .select(*keys)
-    )
-    opened = open_rows(incoming.join(same, keys, "left_anti"), t, surrogate)
-    return touched.unionByName(opened.select(*columns).withColumn(STATE, F.lit(OPENED)))
-
-
 def scd2_merge(
     history: DataFrame | None,
     incoming: DataFrame,
@@ -177,13 +139,10 @@ def scd2_merge(
     surrogate: str | None = None,
     surrogate_order: Sequence[str] | None = None,
     check_unique: bool = True,
-    small_batch: bool | None = None,
 ) -> DataFrame:
     """Whole history after the merge: closed rows as they were, plus :func:`scd2_step`."""
     now = None if history is None else current(history)
-    step = scd2_step(
-        now, incoming, keys, tracked, as_of, surrogate=surrogate, check_unique=check_unique, small_batch=small_batch
-    )
+    step = scd2_step(now, incoming, keys, tracked, as_of, surrogate=surrogate, check_unique=check_unique)
     if surrogate:
         start = F.lit(0)
         if history is not None:
@@ -196,7 +155,11 @@ def scd2_merge(
 
 
 def assign_surrogates(step: DataFrame, surrogate: str, order_by: Sequence[str], start: Column) -> DataFrame:
-    """Number the opened rows from ``start`` + 1 (the largest key ever used); other rows keep theirs."""
+    """Number the opened rows from ``start`` + 1 (the largest key ever used); other rows keep theirs.
+
+    The merge is written once to the shared folder and numbered from there.
+    """
+    step = written(step, "surrogates")
     opened = step.where(F.col(STATE) == OPENED)
     others = step.where(F.col(STATE) != OPENED)
     numbered = dense_numbers(opened.drop(surrogate), order_by, surrogate, start.cast("bigint"))
@@ -204,15 +167,18 @@ def assign_surrogates(step: DataFrame, surrogate: str, order_by: Sequence[str],
 
 
 def dense_numbers(
-    df: DataFrame, order_by: Sequence[str], out: str, start: Column | None = None, buckets: int = 256, bucket: Column | None = None
+    df: DataFrame, order_by: Sequence[str], out: str, start: Column | None = None, buckets: int | None = None, bucket: Column | None = None
 ) -> DataFrame:
     """Consecutive numbers start+1, start+2, ... without sorting everything in one task.
 
     Rows are numbered inside hash buckets of the (unique) order columns; the sizes of
-    the buckets before it, one row per bucket, are added as an offset.  The result
-    depends on the rows only, not on how they are partitioned, so a retried task
-    gives the same numbers.
+    the buckets before it, one row per bucket, are added as an offset.  There are
+    about as many buckets as rows in each, so neither grows faster than the root of
+    the rows.  The result depends on the rows only, not on how they are partitioned,
+    so a retried task gives the same numbers.
     """
+    if buckets is None and bucket is None:
+        buckets = 1 << math.ceil(math.log2(max(1, df.count())) / 2)
     start = F.lit(0).cast("bigint") if start is None else start
     slot = F.pmod(F.xxhash64(*order_by), F.lit(buckets)) if bucket is None else bucket
     slotted = df.withColumn("_bucket", slot.cast("bigint"))

@@ -1,7 +1,13 @@
-"""Report views over current rows.  Each is a plain DataFrame; ``as_of`` stands for now."""
+"""Report views over current rows.  Each is a plain DataFrame; ``as_of`` stands for now.
+
+Column names of the views are fixed: they are those of the published panels.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,12 +21,37 @@ def _since(df: DataFrame, col: str, as_of, days: int):
     return F.col(col) > t - F.expr(f"INTERVAL {int(days)} DAYS")
 
 
+@dataclass(frozen=True)
+class Panel:
+    """The filters all views share: days from ``start`` to ``end``, and locations by name.
+
+    They are put on the rows before anything is grouped, so they reach the scan.
+    """
+
+    start: str | None = None
+    end: str | None = None
+    locations: Sequence[str] | None = None
+
+    def days(self, df: DataFrame, date_col: str) -> DataFrame:
+        day = F.col(date_col).cast("date")
+        if self.start is not None:
+            df = df.where(day >= F.lit(self.start).cast("date"))
+        if self.end is not None:
+            df = df.where(day <= F.lit(self.end).cast("date"))
+        return df
+
+    def places(self, locations: DataFrame, name: str = "name") -> DataFrame:
+        return joins.date_and_key_filter(locations, key_col=name, keys=self.locations)
+
+
+EVERYTHING = Panel()
+
 # --- weather ------------------------------------------------------------------
 
 
-def temperature_series(weather: DataFrame, locations: DataFrame) -> DataFrame:
-    named = joins.current(weather).join(
-        joins.current(locations).select("location_key", F.col("name").alias("location")), "location_key"
+def temperature_series(weather: DataFrame, locations: DataFrame, panel: Panel = EVERYTHING) -> DataFrame:
+    named = panel.days(joins.current(weather), "date").join(
+        panel.places(joins.current(locations)).select("location_key", F.col("name").alias("location")), "location_key"
     )
     return named.select("date", "location", "temp_min", "temp_max").orderBy(F.asc_nulls_last("date"), "location")
 
@@ -32,34 +63,34 @@ def monthly_total(fact: DataFrame, dim: DataFrame, key: str, date_col: str, valu
     return named.groupBy("month", name_col).agg(F.sum("_part").alias(out))
 
 
-def monthly_precipitation(weather: DataFrame, locations: DataFrame) -> DataFrame:
-    names = joins.current(locations).select("location_key", F.col("name").alias("location"))
-    totals = monthly_total(joins.current(weather), names, "location_key", "date", "precipitation_mm", "location", "precip_mm")
+def monthly_precipitation(weather: DataFrame, locations: DataFrame, panel: Panel = EVERYTHING) -> DataFrame:
+    names = panel.places(joins.current(locations)).select("location_key", F.col("name").alias("location"))
+    totals = monthly_total(panel.days(joins.current(weather), "date"), names, "location_key", "date", "precipitation_mm", "location", "precip_mm")
     return totals.orderBy("month", "location")
 
 
-def current_temperature(weather: DataFrame) -> DataFrame:
+def current_temperature(weather: DataFrame, panel: Panel = EVERYTHING) -> DataFrame:
     """Latest temperature and the newest fetch over all current rows."""
-    return joins.current(weather).agg(
+    return panel.days(joins.current(weather), "date").agg(
         F.max_by("temp_max", F.struct("date", "source_fetched_at", "location_key")).alias("temp_max"),
         F.max("source_fetched_at").alias("last_updated"),
     )
 
 
-def latest_temperature_by_location(weather: DataFrame, locations: DataFrame) -> DataFrame:
-    last = latest_values(joins.current(weather), ["location_key"], ["date", "source_fetched_at"], ["temp_max"])
-    places = joins.current(locations).select("location_key", F.col("name").alias("location"), "lat", "lon")
+def latest_temperature_by_location(weather: DataFrame, locations: DataFrame, panel: Panel = EVERYTHING) -> DataFrame:
+    last = latest_values(panel.days(joins.current(weather), "date"), ["location_key"], ["date", "source_fetched_at"], ["temp_max"])
+    places = panel.places(joins.current(locations)).select("location_key", F.col("name").alias("location"), "lat", "lon")
     return last.join(places, "location_key").select("location", "lat", "lon", "temp_max")
 
 
 # --- close approaches -----------------------------------------------------------
 
 
-def approaches_by_distance(approaches: DataFrame, asteroids: DataFrame, slice_unit: str | None = None, horizon=None) -> DataFrame:
+def approaches_by_distance(approaches: DataFrame, asteroids: DataFrame, slice_unit: str | None = None, panel: Panel = EVERYTHING) -> DataFrame:
     """Current approaches with the attributes in force when they were opened, nearest first."""
     attributes = ["name", "estimated_diameter_m_max", "is_potentially_hazardous"]
     joined = joins.effective_join(
-        joins.current(approaches), asteroids, "asteroid_id", "open_date", attributes, slice_unit, horizon
+        panel.days(joins.current(approaches), "close_approach_date"), asteroids, "asteroid_id", "open_date", attributes, slice_unit
     )
     return joined.select(
         "asteroid_id", "name", "close_approach_date", "miss_distance_km", "relative_velocity_kph",
@@ -67,9 +98,9 @@ def approaches_by_distance(approaches: DataFrame, asteroids: DataFrame, slice_un
     ).orderBy(F.asc_nulls_last("miss_distance_km"), "asteroid_id", "close_approach_date")
 
 
-def approaches_with_current_attributes(approaches: DataFrame, asteroids: DataFrame) -> DataFrame:
+def approaches_with_current_attributes(approaches: DataFrame, asteroids: DataFrame, panel: Panel = EVERYTHING) -> DataFrame:
     attributes = ["name", "estimated_diameter_m_max", "is_potentially_hazardous"]
-    return joins.resolve_current(joins.current(approaches), asteroids, "asteroid_id", attributes)
+    return joins.resolve_current(panel.days(joins.current(approaches), "close_approach_date"), asteroids, "asteroid_id", attributes)
 
 
 def distance_velocity_scatter(approaches: DataFrame, asteroids: DataFrame) -> DataFrame:
@@ -83,8 +114,8 @@ def weekly_count(df: DataFrame, date_col: str, out: str) -> DataFrame:
     return df.groupBy(period_start("week", date_col).alias("week")).agg(F.count(F.lit(1)).alias(out))
 
 
-def weekly_approaches(approaches: DataFrame) -> DataFrame:
-    return weekly_count(joins.current(approaches), "close_approach_date", "approaches").orderBy("week")
+def weekly_approaches(approaches: DataFrame, panel: Panel = EVERYTHING) -> DataFrame:
+    return weekly_count(panel.days(joins.current(approaches), "close_approach_date"), "close_approach_date", "approaches").orderBy("week")
 
 
 def closest_in_next_days(approaches: DataFrame, as_of, days: int = 7) -> DataFrame:
@@ -103,8 +134,8 @@ def weekly_by_class(df: DataFrame, date_col: str, class_col: str, out: str) -> D
     return df.groupBy(period_start("week", date_col).alias("week"), letter).agg(F.count(F.lit(1)).alias(out))
 
 
-def weekly_flares(events: DataFrame) -> DataFrame:
-    flares = joins.current(events).where("event_type = 'FLR'")
+def weekly_flares(events: DataFrame, panel: Panel = EVERYTHING) -> DataFrame:
+    flares = panel.days(joins.current(events), "event_time").where("event_type = 'FLR'")
     return weekly_by_class(flares, "event_time", "flare_class", "flares").orderBy("week", "class")
 
 
@@ -113,8 +144,8 @@ def bucket_counts(df: DataFrame, col: str, low, high, count: int, band: str, out
     return banded.groupBy(bucket(col, low, high, count).cast("int").alias(band)).agg(F.count(F.lit(1)).alias(out))
 
 
-def storms_by_band(events: DataFrame) -> DataFrame:
-    storms = joins.current(events).where("event_type = 'GST'")
+def storms_by_band(events: DataFrame, panel: Panel = EVERYTHING) -> DataFrame:
+    storms = panel.days(joins.current(events), "event_time").where("event_type = 'GST'")
     return bucket_counts(storms, "kp_index", 0, 9, 9, "kp_band", "storms").orderBy("kp_band")
 
 
@@ -123,11 +154,13 @@ def recent(df: DataFrame, time_col: str, tie_break: str, limit: int) -> DataFram
     return df.orderBy(F.desc_nulls_last(time_col), tie_break).limit(limit)
 
 
-def recent_ejections(events: DataFrame, limit: int = 50) -> DataFrame:
+def recent_ejections(events: DataFrame, limit: int = 50, panel: Panel = EVERYTHING) -> DataFrame:
     """Newest mass ejections with the storm they are linked to, where it is known."""
     now = joins.current(events)
-    newest = recent(now.where("event_type = 'CME'"), "event_time", "event_id", limit)
-    storms = now.where("event_type = 'GST'")
+    newest = recent(panel.days(now.where("event_type = 'CME'"), "event_time"), "event_time", "event_id", limit)
+    # only the storms that the newest point to; that side is at most ``limit`` rows
+    linked_ids = newest.select(F.col("linked_event_id").alias("event_id")).where("event_id IS NOT NULL").distinct()
+    storms = now.where("event_type = 'GST'").join(linked_ids, "event_id", "left_semi")
     joined = joins.linked(
         newest, "linked_event_id", "event_id", {"event_time": "storm_time", "kp_index": "storm_kp_index"}, storms
     )
@@ -147,9 +180,9 @@ def most_severe_in_last_days(events: DataFrame, as_of, days: int = 7) -> DataFra
 # --- call health ------------------------------------------------------------------
 
 
-def hourly_latency(calls: DataFrame) -> DataFrame:
+def hourly_latency(calls: DataFrame, panel: Panel = EVERYTHING) -> DataFrame:
     hour = F.date_trunc("hour", "called_at").cast(calls.schema["called_at"].dataType).alias("ts")
-    return calls.groupBy(hour, "source_name").agg(F.avg("response_time_ms").alias("avg_ms")).orderBy("ts", "source_name")
+    return panel.days(calls, "called_at").groupBy(hour, "source_name").agg(F.avg("response_time_ms").alias("avg_ms")).orderBy("ts", "source_name")
 
 
 def success_rate_pct(calls: DataFrame, as_of, days: int = 7) -> DataFrame:
@@ -163,16 +196,16 @@ def headroom(calls: DataFrame) -> DataFrame:
     return latest_values(known, ["source_name"], ["called_at", "rate_limit_remaining"], ["rate_limit_remaining", "called_at"])
 
 
-def retry_trend(calls: DataFrame) -> DataFrame:
+def retry_trend(calls: DataFrame, panel: Panel = EVERYTHING) -> DataFrame:
     day = F.to_date("called_at").alias("day")
-    return calls.groupBy(day, "source_name").agg(F.sum("retry_count").alias("retries")).orderBy("day", "source_name")
+    return panel.days(calls, "called_at").groupBy(day, "source_name").agg(F.sum("retry_count").alias("retries")).orderBy("day", "source_name")
 
 
-def recent_findings(findings: DataFrame, limit: int = 100) -> DataFrame:
+def recent_findings(findings: DataFrame, limit: int = 100, panel: Panel = EVERYTHING) -> DataFrame:
     """Findings by urgency, newest first."""
     order = [severity_rank("severity"), F.desc_nulls_last("detected_at"), F.asc("check_name"), F.asc("description")]
     columns = ["detected_at", "severity", "check_name", "related_table", "description"]
-    return findings.orderBy(*order).limit(limit).select(*columns)
+    return panel.days(findings, "detected_at").orderBy(*order).limit(limit).select(*columns)
 
 
 def findings_by_check(findings: DataFrame, prefix: str = "") -> DataFrame:

@@ -24,6 +24,11 @@ def hash_slice(key: str, count: int = 64) -> str:
     return f"lpad(hex(pmod(hash({key}), {count})), 2, '0')"
 
 
+def month_slice(key: str) -> str:
+    """Month an event id begins with; the id does not change, so neither does its slice."""
+    return f"coalesce(nullif(regexp_extract({key}, '^[0-9]{{4}}-[0-9]{{2}}', 0), ''), 'other')"
+
+
 @dataclass(frozen=True)
 class Staging(Declared):
     """Overwrite-in-place snapshot, one row per key.
@@ -37,6 +42,7 @@ class Staging(Declared):
     keys: tuple[str, ...]
     rules: tuple[Rule, ...] = ()
     slice_by: str = "'all'"
+    defaults: dict = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -54,6 +60,7 @@ class History(Declared):
 
 
 
+# Columns, types and limits below are those of the published tables.
 VERSION_DDL = "open_date TIMESTAMP, close_date TIMESTAMP"
 
 # --- staging ---------------------------------------------------------------
@@ -77,7 +84,7 @@ STAGED_EVENTS = Staging(
     ),
     ("event_id",),
     not_null("event_id", "event_type", "fetched_at"),
-    hash_slice("event_id"),
+    month_slice("event_id"),
 )
 STAGED_APPROACHES = Staging(
     "staging_approaches",
@@ -165,7 +172,7 @@ SPACE_EVENTS = History(
     ),
     not_null("event_id", "event_type", "event_time", "source_fetched_at", "open_date")
     + (one_of("event_type", fixed.EVENT_TYPES), non_negative("speed_kms"), between("kp_index", 0, 9)),
-    slice_by=hash_slice("event_id"),
+    slice_by=month_slice("event_id"),
 )
 CLOSE_APPROACHES = History(
     "close_approaches",
@@ -190,7 +197,9 @@ CALL_LOG = Staging(
         "retry_count INT, records_returned INT, rate_limit_remaining INT, pipeline_run_id STRING"
     ),
     (),
-    not_null("source_name", "called_at", "success"),
+    not_null("source_name", "called_at", "success")
+    + (non_negative("response_time_ms"), non_negative("retry_count")),
+    defaults={"retry_count": 0},
 )
 FINDINGS = Staging(
     "audit_findings",

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 #: Settings that change results (ANSI casts raise, instants are UTC) or keep
 #: skewed shuffles even at run time (AQE).  Sizes are left to the cluster.
@@ -24,13 +27,21 @@ def build_session(name: str = "tidemark", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
-def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
+def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    ``fallback`` is used only where the session names none (tests, a laptop); a
-    machine-local folder would not survive the loss of an executor.
+    A local folder only where the session names none (tests, a laptop); on a cluster
+    the setting is needed, as a machine-local folder is not seen by other executors.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or fallback
-    if not root:
-        raise ValueError("spark.checkpoint.dir is not set and no shared folder was given")
-    return root
+    return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidemark-")
+
+
+def fresh_folder(spark: SparkSession, name: str) -> str:
+    return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder: computed once, lineage cut."""
+    path = fresh_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

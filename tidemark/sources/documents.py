@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions import fixed_values as fixed
 from tidemark.functions.scalars import ColumnOrName, column
+from tidemark.schemas import CALL_LOG
 
 
 def stem(file_name: ColumnOrName) -> Column:
@@ -80,3 +82,30 @@ def stream_documents(spark: SparkSession, folder: str, max_files: int | None = N
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return _scan(reader, folder)
+
+
+def named_documents(spark: SparkSession, folders: Mapping[str, str]) -> DataFrame:
+    """(name, value, fetched_at, file_name) of the documents of several feeds, for the key audit.
+
+    ``folders`` maps feed names to landing folders.  A feed whose file names start with an event
+    type has a name per type, such as ``space_weather_CME``; dates and ids are no types.
+    """
+    parts = []
+    for feed, folder in folders.items():
+        kind = F.upper("first_token")
+        typed = F.when(kind.isin(*fixed.EVENT_TYPES), F.concat(F.lit(f"{feed}_"), kind)).otherwise(F.lit(feed))
+        parts.append(_scan(spark.read, folder).select(typed.alias("name"), "value", "fetched_at", "file_name"))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def read_call_records(spark: SparkSession, folder: str) -> DataFrame:
+    """Landed call records, one JSON object per line, of calls that succeeded and of those that failed.
+
+    The rows have the columns of the call log; a line that is no object fails the batch, unknown
+    fields are left out, and missing ones are null (the log fills its defaults).
+    """
+    schema = T.StructType([*CALL_LOG.schema.fields])
+    return spark.read.schema(schema).option("mode", "FAILFAST").option("recursiveFileLookup", "true").json(folder)

@@ -13,6 +13,7 @@ closed rows are only ever appended.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,7 +53,11 @@ class Folder:
             stream.close()
 
     def publish(self, name: str, text: str) -> None:
-        """Create a file whole: written aside, then renamed; an existing name is a lost race."""
+        """Create a file whole: written aside, then renamed; an existing name is a lost race.
+
+        The check and the rename are two steps: safe with one writer per table, or on a file
+        system whose rename fails on an existing name (HDFS), not on an object store.
+        """
         target, aside = self._path(name), self._path(f"{name}.tmp")
         stream = self._fs.create(aside, True)
         stream.write(bytearray(text.encode()))
@@ -61,6 +66,18 @@ class Folder:
             raise RuntimeError(f"another writer published {name} in {self.path}")
 
 
+    def settle(self, aside: str, name: str | None) -> None:
+        """Rename a folder written aside into place, or remove it.
+
+        A rename is whole on a file system such as HDFS; on an object store it is a copy
+        of each file, during which readers may see part of the batch.
+        """
+        if name is None:
+            self._fs.delete(self._path(aside), True)
+        elif not self._fs.rename(self._path(aside), self._path(name)):
+            raise RuntimeError(f"could not publish {name} in {self.path}")
+
+
 class VersionedTable:
     """A table whose content is the newest manifest.
 
@@ -211,25 +228,34 @@ class HistoryTable(VersionedTable):
 
 
 class Log:
-    """Append-only rows, one folder per day."""
+    """Append-only rows, one folder per batch and day."""
 
     def __init__(self, spark: SparkSession, path: str, table: Staging, day: str):
-        self.spark, self.path, self.table, self.day = spark, path, table, day
+        self.spark, self.path, self.table, self.day = spark, path.rstrip("/"), table, day
+        self.folder = Folder(spark, path)
 
     def append(self, rows: DataFrame) -> None:
-        """Rules first, then append with a generated id; an empty batch writes nothing."""
+        """Append with a generated id, in one pass: rules are counted on the write.
+
+        The batch is written aside, where readers do not look, and renamed into place
+        only if the rules hold; an empty or failed batch is removed.
+        """
+        rows = constraints.with_defaults(rows, self.table.defaults)
         typed = rows.select(*[F.col(f.name).cast(f.dataType) for f in self.table.schema.fields])
-        constraints.enforce(typed, self.table.rules, self.table.name)
-        if typed.isEmpty():
-            return
-        keyed = typed.select(F.expr("uuid()").alias("id"), "*", F.to_date(self.day).alias("day"))
-        keyed.write.mode("append").partitionBy("day").parquet(self.path)
+        watched, seen = constraints.observed(typed, self.table.rules)
+        keyed = watched.select(F.expr("uuid()").alias("id"), "*", F.to_date(self.day).alias("day"))
+        batch = uuid.uuid4().hex
+        keyed.write.partitionBy("day").parquet(f"{self.path}/_pending-{batch}")
+        counts = seen.get
+        kept = counts["rows"] > 0 and not constraints.broken(counts, self.table.rules)
+        self.folder.settle(f"_pending-{batch}", f"batch={batch}" if kept else None)
+        constraints.raise_if_broken(counts, self.table.rules, self.table.name)
 
     def read(self) -> DataFrame:
         schema = T.StructType([T.StructField("id", T.StringType()), *self.table.schema.fields, T.StructField("day", T.DateType())])
-        if not Folder(self.spark, self.path).names(""):
+        if not any(n.startswith("batch=") for n in self.folder.names("")):
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(self.path)
+        return self.spark.read.schema(schema).parquet(self.path).select(*schema.fieldNames())
 
 
 def already_applied(manifest: dict, batch: tuple[str, int] | None) -> bool:

@@ -24,7 +24,7 @@ def _own(wh: feeds.Warehouse, folder: str) -> str:
 def _start(wh: feeds.Warehouse, folder: str, name: str, checkpoint: str | None, max_files: int | None, apply: Callable) -> StreamingQuery:
     own = f"{name}-{_own(wh, folder)}"
     writer = stream_documents(wh.spark, folder, max_files).writeStream.foreachBatch(apply).queryName(own)
-    location = f"{checkpoint_root(wh.spark, checkpoint)}/{own}"
+    location = f"{(checkpoint or checkpoint_root(wh.spark)).rstrip('/')}/{own}"
     return writer.option("checkpointLocation", location).trigger(availableNow=True).start()
 
 
