@@ -171,7 +171,7 @@ def test_audit_finds_what_is_wrong_and_survives_a_broken_check(warehouse, tmp_pa
     sunk = []
     assert audit.run_checks(checks, lambda df: sunk.extend(df.collect())) == ["broken"]
     assert sorted((r.severity, r.description) for r in sunk) == [
-        ("warning", "Could not read raw JSON for weather."),
+        ("warning", "Unreadable document of weather."),
         ("warning", "Keys changed for weather: missing=[daily], added=[hourly]."),
     ]
 

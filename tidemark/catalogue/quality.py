@@ -372,7 +372,7 @@ findings AS (
   SELECT 'trend_success_rate', 'critical', 'calls', 'Source ' || source_name || ' is below 0.80.' FROM ({BELOW_SQL})
   UNION ALL
   SELECT 'schema_drift_' || name, severity, NULL,
-         CASE WHEN unreadable THEN 'Could not read raw JSON for ' || name || '.' WHEN missing IS NULL THEN 'First keys seen for ' || name || ': [' || replace(keys, ',', ', ') || '].'
+         CASE WHEN unreadable THEN 'Unreadable document of ' || name || '.' WHEN missing IS NULL THEN 'First keys seen for ' || name || ': [' || replace(keys, ',', ', ') || '].'
               ELSE 'Keys changed for ' || name || ': missing=[' || replace(missing, ',', ', ') || '], added=[' || replace(added, ',', ', ') || '].' END
   FROM drift WHERE severity IS NOT NULL)
 """

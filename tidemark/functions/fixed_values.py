@@ -56,9 +56,17 @@ INSTANT_FORMAT = "yyyy-MM-dd'T'HH:mm[:ss]XXX"
 # Backfill span, window lengths (inclusive days), alert limits.
 BACKFILL_LAG_DAYS = 5
 BACKFILL_MONTHS = 24
-EVENT_WINDOW_DAYS = 30
-APPROACH_WINDOW_DAYS = 7
 FORECAST_DAYS = 16
 ANOMALY_DAYS = 7
 ANOMALY_SIGMAS = 3
 SUCCESS_RATE_FLOOR = 0.9
+
+# Names of the audit checks and the severity of their findings.
+CHECKS = {
+    "absence_weather_daily": "warning",
+    "anomaly_temp_max": "warning",
+    "xtable_weather_run_id": "warning",
+    "xtable_asteroid_dimension_coverage": "warning",
+    "xtable_location_dimension_coverage": "warning",
+    "trend_api_success_rate": "critical",
+}

@@ -224,7 +224,7 @@ def key_drift(docs: DataFrame, reference: DataFrame, name: str = "name", value:
 def drift_findings(drift: DataFrame, detected_at, run_id: str | None = None) -> DataFrame:
     listed = lambda c: F.concat(F.lit("["), F.array_join(c, ", "), F.lit("]"))
     text = (
-        F.when(F.col("unreadable"), F.concat(F.lit("Could not read raw JSON for "), "name", F.lit(".")))
+        F.when(F.col("unreadable"), F.concat(F.lit("Unreadable document of "), "name", F.lit(".")))
         .when(F.col("missing").isNull(), F.concat(F.lit("First keys seen for "), "name", F.lit(": "), listed("keys"), F.lit(".")))
         .otherwise(F.concat(F.lit("Keys changed for "), "name", F.lit(": missing="), listed("missing"), F.lit(", added="), listed("added"), F.lit(".")))
     )

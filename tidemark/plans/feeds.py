@@ -216,13 +216,13 @@ def audit_checks(wh: Warehouse, as_of, run_id: str | None = None, docs: DataFram
     """
     t = at(as_of)
 
-    def found(rows, name, severity, table, text):
-        return audit.findings(rows, name, severity, table, text, t, run_id)
+    def found(rows, name, table, text):
+        return audit.findings(rows, name, fixed.CHECKS[name], table, text, t, run_id)
 
     def absence():
         rows = audit.absent_on(wh.locations.current(), wh.weather_daily.current(), "location_key", "date", t)
         text = F.format_string("No current weather row on %s for location %s (%s).", F.to_date(t).cast("string"), "location_id", "name")
-        return found(rows, "absence_weather_daily", "warning", "weather_daily", text)
+        return found(rows, "absence_weather_daily", "weather_daily", text)
 
     def anomaly():
         rows = audit.trailing_anomaly(wh.weather_daily.current(), ["location_key"], "date", "temp_max")
@@ -230,29 +230,29 @@ def audit_checks(wh: Warehouse, as_of, run_id: str | None = None, docs: DataFram
             f"temp_max %s on %s (location_key %s) is more than {fixed.ANOMALY_SIGMAS} deviations from the mean of the {fixed.ANOMALY_DAYS} days before.",
             F.col("temp_max").cast("string"), F.col("date").cast("string"), "location_key",
         )
-        return found(rows, "anomaly_temp_max", "warning", "weather_daily", text)
+        return found(rows, "anomaly_temp_max", "weather_daily", text)
 
     def unlogged_runs():
         rows = audit.unmatched_keys(wh.weather_daily.read(), wh.call_log.read(), {"pipeline_run_id": "pipeline_run_id"})
         text = F.format_string("weather_daily run %s has no entry in the call log.", "pipeline_run_id")
-        return found(rows, "xtable_weather_run_id", "warning", "weather_daily", text)
+        return found(rows, "xtable_weather_run_id", "weather_daily", text)
 
     def uncovered_asteroids():
         rows = audit.unmatched_keys(wh.close_approaches.current(), wh.asteroids.current(), {"asteroid_id": "asteroid_id"})
         text = F.format_string("asteroid_id %s has current approaches but no current dimension row.", "asteroid_id")
-        return found(rows, "xtable_asteroid_dimension_coverage", "warning", "close_approaches", text)
+        return found(rows, "xtable_asteroid_dimension_coverage", "close_approaches", text)
 
     def unresolved_locations():
         rows = audit.unmatched_keys(wh.staged_weather.read(), wh.locations.current(), {"location_id": "location_id"})
         text = F.format_string("location_id %s is staged but has no current dimension row.", "location_id")
-        return found(rows, "xtable_location_dimension_coverage", "warning", "staging_weather", text)
+        return found(rows, "xtable_location_dimension_coverage", "staging_weather", text)
 
     def reliability():
         rows = audit.low_success_rate(wh.call_log.read(), t)
         text = F.format_string(
             f"Source %s has a 7-day success rate of %s (< {fixed.SUCCESS_RATE_FLOOR}).", "source_name", F.col("success_rate_7d").cast("string")
         )
-        return found(rows, "trend_api_success_rate", "critical", "call_log", text)
+        return found(rows, "trend_api_success_rate", "call_log", text)
 
     checks = {
         "absence_weather_daily": absence,

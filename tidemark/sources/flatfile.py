@@ -10,9 +10,13 @@ from pyspark.sql import types as T
 FORMAT = {"sep": "|", "escape": '"', "header": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX"}
 
 
-def write_flat(df: DataFrame, path: str, columns: Sequence[str], mode: str = "errorifexists") -> None:
-    """Write ``columns`` in this order; text keeps its outer blanks."""
-    keep = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "emptyValue": ""}
+#: Rows of one file; a file with newlines in its text is read by one task.
+FILE_ROWS = 1_000_000
+
+
+def write_flat(df: DataFrame, path: str, columns: Sequence[str], mode: str = "errorifexists", file_rows: int = FILE_ROWS) -> None:
+    """Write ``columns`` in this order, in files of bounded size; text keeps its outer blanks."""
+    keep = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "emptyValue": "", "maxRecordsPerFile": str(file_rows)}
     df.select(*columns).write.mode(mode).options(**FORMAT, **keep).csv(path)
 
 
