@@ -171,8 +171,8 @@ def test_audit_finds_what_is_wrong_and_survives_a_broken_check(warehouse, tmp_pa
     sunk = []
     assert audit.run_checks(checks, lambda df: sunk.extend(df.collect())) == ["broken"]
     assert sorted((r.severity, r.description) for r in sunk) == [
-        ("warning", "Unreadable document of weather."),
         ("warning", "Keys changed for weather: missing=[daily], added=[hourly]."),
+        ("warning", "Unreadable document of weather."),
     ]
 
 
@@ -255,3 +255,46 @@ def test_running_success_rate_stream(spark, tmp_path):
     query.stop()
     got = {str(r.window_start): (r.calls, r.successes, r.rate) for r in spark.table("rates").collect()}
     assert got == {"2026-07-01 00:00:00": (4, 3, 0.75), "2026-07-30 00:00:00": (1, 1, 1.0)}
+
+
+def test_a_day_of_events_touches_one_slice(warehouse, spark):
+    def rows(first, n):
+        return spark.range(n).selectExpr(
+            f"concat(date_format(date_add(date'2026-01-01', cast({first} + id % 2 AS int)), \"yyyy-MM-dd\"), 'T00:00:00-CME-', id) AS event_id",
+            "'CME' AS event_type", "timestamp'2026-01-01 00:00:00' AS event_time", "'x' AS source_location", "cast(1 AS decimal(8,2)) AS speed_kms",
+            "cast(NULL AS decimal(4,2)) AS kp_index", "cast(NULL AS string) AS flare_class", "cast(NULL AS decimal(6,2)) AS flare_severity_score",
+            "cast(NULL AS string) AS linked_event_id", "timestamp'2026-08-01 00:00:00' AS fetched_at",
+        )
+
+    for first in (0, 40, 80):
+        warehouse.staged_events.upsert(rows(first, 30))
+    feeds.historize_events(warehouse, utc(T1), "r1")
+    before = warehouse.staged_events.manifest(), warehouse.space_events.manifest()
+    warehouse.staged_events.upsert(rows(83, 300))
+    feeds.historize_events(warehouse, utc(T2), "r2")
+    after = warehouse.staged_events.manifest(), warehouse.space_events.manifest()
+    for old, new in zip(before, after):
+        assert [s for s in new["current"] if new["current"][s] != old["current"].get(s)] == ["2026-03"]
+    assert warehouse.space_events.current().count() == 390
+
+
+def test_documents_of_several_feeds_have_names(spark, tmp_path):
+    land(tmp_path / "w", f"1_{STAMP}.json", {"daily": {}})
+    land(tmp_path / "e", f"CME_2026-07-01_{STAMP}.json", [])
+    land(tmp_path / "e", f"gst_2026-07-01_{STAMP}.json", [])
+    docs = documents.named_documents(spark, {"weather": str(tmp_path / "w"), "space": str(tmp_path / "e")})
+    assert docs.columns == ["name", "value", "fetched_at", "file_name"]
+    assert sorted(r.name for r in docs.collect()) == ["space_CME", "space_GST", "weather"]
+
+
+def test_call_records_of_both_outcomes(spark, warehouse, tmp_path):
+    lines = ['{"source_name":"a","called_at":"2026-07-01T00:00:00Z","success":true,"response_time_ms":5,"unknown":1}',
+             '{"source_name":"a","called_at":"2026-07-01T00:00:01Z","success":false,"http_status_code":500,"retry_count":3}']
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c" / "calls.jsonl").write_text("\n".join(lines))
+    warehouse.call_log.append(documents.read_call_records(spark, str(tmp_path / "c")))
+    assert sorted((r.success, r.retry_count) for r in warehouse.call_log.read().collect()) == [(False, 3), (True, 0)]
+    (tmp_path / "c" / "bad.jsonl").write_text("no json")
+    with pytest.raises(Exception):
+        warehouse.call_log.append(documents.read_call_records(spark, str(tmp_path / "c")))
+    assert warehouse.call_log.read().count() == 2
