@@ -137,7 +137,8 @@ def references(docs: DataFrame, rules: Rules = Rules()) -> References:
     )
     tallies = base.written(tallies, "language-tallies")  # once: the totals decide which words are common
     totals = tallies.filter("kind = -1").groupBy("lang").agg(F.sum("n").alias("total"))
-    known = totals.crossJoin(totals.agg(F.sum("total").alias("all"))).filter(F.col("total") >= F.col("all") * rules.min_lang_share).select("lang", "total")
+    every = totals.agg(F.sum("total")).first()[0] or 0
+    known = totals.filter(F.col("total") >= every * rules.min_lang_share)
     found = (
         tallies.join(F.broadcast(known), "lang")  # at most 1 / min_lang_share rows
         .filter((F.col("kind") >= 0) | (F.col("n") >= F.col("total") * rules.min_share))
