@@ -99,7 +99,7 @@ FAMILIES = ("unknown", *TEMPLATES)
 @dataclass(frozen=True)
 class Training:
     variants: int = 40
-    #: Paragraphs of the corpus, from so many texts of at most so many bytes.
+    #: Paragraphs of the corpus, from about so many texts of at most so many bytes.
     texts: int = 2000
     max_bytes: int = 20_000
     paragraphs: int = 6000
@@ -206,8 +206,16 @@ def trained(corpus: list[np.ndarray], training: Training = Training()) -> Model:
 
 
 def learned(docs: DataFrame, training: Training = Training()) -> Model:
-    """Model with unknown paragraphs from a bounded sample of ``docs`` (fixed by hashes of the texts)."""
-    texts = docs.filter(F.octet_length("text").between(1, training.max_bytes)).select("text").orderBy(F.xxhash64("text")).limit(training.texts)
+    """Model with unknown paragraphs from a bounded sample of ``docs``.
+
+    The texts whose hash is low enough that ``training.texts`` rows of all are expected.
+    """
+    share = training.texts / max(1, docs.count())
+    h = F.xxhash64("text")
+    low = min(2**63 - 1, int(-(2**63) + min(1.0, share) * 2**64))
+    # about ``texts`` different texts: copies are one, and only these leave their task
+    chosen = docs.filter(F.octet_length("text").between(1, training.max_bytes)).filter(h <= low)
+    texts = chosen.groupBy(h.alias("h")).agg(F.min("text").alias("text")).orderBy("h")
     corpus = []
     for row in texts.collect():
         words, _, _, first = lines_of(np.frombuffer(row.text.encode(), np.uint8))
