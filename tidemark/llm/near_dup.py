@@ -9,8 +9,7 @@ register with the probability Jaccard of their weighted shingles.
 
 Registers are banded.  Documents of one bucket are never paired with each other: all are held
 against one pivot of the bucket, the member with most company over all bands.  What is left
-apart in a bucket is tried against further pivots, round by round, until a round finds no new
-link.  Every link is verified: Jaccard of the distinct shingles of at least ``threshold``.
+apart in a bucket meets further pivots, some in each round, until a round finds no new link.  Every link is verified: Jaccard of the distinct shingles of at least ``threshold``.
 """
 
 from __future__ import annotations
@@ -23,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from tidemark.llm import base, bytewords
 
@@ -37,6 +37,8 @@ class Settings:
     threshold: float = 0.8
     bands: int = 25
     rows: int = 5
+    #: Pivots of a bucket in each later round, from inside and from outside its largest label.
+    pivots: int = 4
 
 
 #: Registers are a power of two, so that low bits of a random number choose one.
@@ -117,21 +119,31 @@ def _lists(rows: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, kind))
 
 
+#: Rows of links, members and labels that one task works on.  Their tables are read with so many
+#: tasks; where one is enough, its joins need no exchange.
+ROWS_PER_TASK = 250_000
+
+
+def _tasks(df: DataFrame) -> int:
+    return max(1, math.ceil(df.count() / ROWS_PER_TASK))
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, label) of all nodes of ``links`` (a, b): equal labels where a path joins them.
 
     Least labels spread along links and jump to their own label's label; each round is a
-    written table, and only a count reaches the driver.
+    written table, and only counts reach the driver.
     """
     both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     both = base.written(both.distinct(), "links")
-    labels = base.written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("label")), "labels")
+    tasks = _tasks(both)
+    both = both.coalesce(tasks)
+    labels = base.written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("label")), "labels").coalesce(tasks)
     while True:
         near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("label").alias("near"))
         spread = labels.join(near, labels["node"] == near["a"], "left").select("node", F.least("label", "near").alias("label"), F.col("label").alias("old"))
         spread = spread.alias("x").join(labels.alias("y"), F.col("x.label") == F.col("y.node"), "left")
-        spread = spread.select("x.node", F.least("x.label", "y.label").alias("label"), "x.old")
-        spread = base.written(spread, "labels")
+        spread = base.written(spread.select("x.node", F.least("x.label", "y.label").alias("label"), "x.old"), "labels").coalesce(tasks)
         moved = not spread.filter("label <> old").isEmpty()
         labels = spread.select("node", "label")
         if not moved:
@@ -167,35 +179,41 @@ def _labels(rows: DataFrame, settings: Settings) -> DataFrame | None:
     members = base.written(bands.join(shared, "key"), "members")
     if members.isEmpty():
         return None
-    company = members.groupBy("node").agg(F.sum("n").alias("company"))
+    tasks = _tasks(members)
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        return base.written(df, name).coalesce(tasks)
+
+    company = kept(members.groupBy("node").agg(F.sum("n").alias("company")), "company")
+    members = kept(members.join(company, "node"), "members")
     wanted = texts.select("node", "row_id").join(company, "node")
-    sets = base.written(rows.select("row_id", "shingles").join(wanted, "row_id").select("node", "company", "shingles"), "shingles")
-    members = base.written(members.join(sets.select("node", "company"), "node"), "members")
-
-    labels = base.written(sets.select("node", F.col("node").alias("label")), "labels")
-    rank = F.struct("company", "node")
-    hubs = members.groupBy("key").agg(F.max(rank)["node"].alias("pivot"))
-    pairs = members.join(hubs, "key").filter("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    turn = 0
+    sets = base.written(rows.select("row_id", "shingles").join(wanted, "row_id").select("node", "shingles"), "shingles")
+
+    labels = company.select("node", F.col("node").alias("label"))
+    hubs = members.groupBy("key").agg(F.max(F.struct("company", "node"))["node"].alias("pivot"))
+    tried = kept(hubs, "pivots")
+    pairs = members.join(tried, "key").filter("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
     while True:
-        links = base.written(_verified(pairs, sets, settings.threshold), "verified")
+        links = kept(_verified(pairs, sets, settings.threshold), "verified")
         if links.isEmpty():
             return labels
-        groups = labels.select(F.col("node"), F.col("label"))
-        ends = links.join(groups.withColumnsRenamed({"node": "a", "label": "la"}), "a").join(groups.withColumnsRenamed({"node": "b", "label": "lb"}), "b")
+        ends = links.join(labels.withColumnsRenamed({"node": "a", "label": "la"}), "a").join(labels.withColumnsRenamed({"node": "b", "label": "lb"}), "b")
         moved = components(ends.select(F.col("la").alias("a"), F.col("lb").alias("b")).filter("a <> b"))
         moved = moved.withColumnsRenamed({"node": "was", "label": "now"})
         labels = labels.join(moved, labels["label"] == moved["was"], "left").select("node", F.coalesce("now", "label").alias("label"))
-        labels = base.written(labels, "labels")
-        # buckets of more than two texts that are still apart: another pivot from those outside the largest label
-        turn += 1
+        labels = kept(labels, "labels")
+        # Buckets of more than two texts that are still apart.  Their members outside the largest
+        # label meet more pivots, the untried ones with most company inside it and outside it.
         now = members.filter("n > 2").join(labels, "node")
         split = now.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max(F.struct("company", "label"))["label"].alias("main")).filter("low <> high")
-        now = now.join(split.select("key", "main"), "key")
-        chance = F.xxhash64(F.col("node"), F.lit(turn), F.col("key"))
-        tries = now.groupBy("key").agg(F.max(F.struct(F.col("label") != F.col("main"), chance.alias("chance"), F.col("node"), F.col("label"))).alias("p"))
-        tries = tries.select("key", F.col("p.node").alias("pivot"), F.col("p.label").alias("own"))
-        pairs = now.join(tries, "key").filter("label <> own").select(F.least("pivot", "node").alias("a"), F.greatest("pivot", "node").alias("b")).distinct()
+        now = kept(now.join(split.select("key", "main"), "key").withColumn("apart", F.col("label") != F.col("main")), "split")
+        fresh = now.join(tried, (now["key"] == tried["key"]) & (now["node"] == tried["pivot"]), "left_anti")
+        most = W.partitionBy("key", "apart").orderBy(F.desc("company"), F.desc("node"))
+        turn = fresh.withColumn("rank", F.row_number().over(most)).filter(F.col("rank") <= settings.pivots)
+        turn = kept(turn.select("key", F.col("node").alias("pivot"), F.col("label").alias("own")), "pivots")
+        tried = kept(tried.union(turn.select("key", "pivot")), "tried")
+        open_ = now.filter("apart").select("key", "node", "label")
+        pairs = open_.join(turn, "key").filter("label <> own").select(F.least("pivot", "node").alias("a"), F.greatest("pivot", "node").alias("b")).distinct()
 
 
 def _classed(rows: DataFrame, settings: Settings) -> DataFrame:
