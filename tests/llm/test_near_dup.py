@@ -44,6 +44,16 @@ def test_classes_equal_brute_force(spark):
     assert all(got[k].class_size == want.count(want[k]) for k in range(len(texts)))
 
 
+def test_pairs_among_many_texts_of_one_template(spark):
+    rng = random.Random(7)
+    template = small.prose(rng, 200)  # any two have 0.784, and 25 pairs of 0.806 mostly share hot buckets only
+    own = [small.prose(rng, 27) for _ in range(125)]
+    texts = [f"{template} {x}" for x in own] + [f"{template} {' '.join(x.split()[:3])} {small.prose(rng, 24)}" for x in own[::5]]
+    got = {r.doc_id: r.class_id for r in N.classes(small.documents(spark, texts)).collect()}
+    want = brute_classes(texts)
+    assert len(set(want)) == 125 and [got[k] for k in range(len(texts))] == want
+
+
 def test_one_of_each_group_stays(spark):
     texts = corpus()
     docs = small.documents(spark, texts).withColumnRenamed("source", "digest")

@@ -9,7 +9,10 @@ register with the probability Jaccard of their weighted shingles.
 
 Registers are banded.  Documents of one bucket are never paired with each other: all are held
 against one pivot of the bucket, the member with most company over all bands.  What is left
-apart in a bucket meets further pivots, some in each round, until a round finds no new link.  Every link is verified: Jaccard of the distinct shingles of at least ``threshold``.
+apart in a bucket meets further pivots, some in each round, until a round finds no new link.  The
+members of buckets that are split even then meet by their rarest shingles, which leaves out no
+pair of the threshold.  Every link is verified: Jaccard of the distinct shingles of at least
+``threshold``.
 """
 
 from __future__ import annotations
@@ -161,6 +164,60 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return both.withColumn("common", common).filter(F.col("common") >= threshold * (F.size("x") + F.size("y") - F.col("common")) - 1e-9).select("a", "b")
 
 
+#: Shingles are counted in 2 ** SLOT_BITS slots, so that their order is a table of fixed size.
+SLOT_BITS = 20
+
+
+def _slots(shingles: np.ndarray) -> np.ndarray:
+    return shingles >> np.uint32(32 - SLOT_BITS)
+
+
+def _slot_counts(batches):
+    total = np.zeros(1 << SLOT_BITS, np.int64)
+    for batch in batches:
+        total += np.bincount(_slots(batch.column("shingles").flatten().to_numpy().view(np.uint32)), minlength=len(total))
+    at = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at])], names=["slot", "n"])
+
+
+def _prefixes(counts, threshold: float):
+    """The rarest shingles of each set, as many as two sets of ``threshold`` cannot both hold without a common one."""
+
+    def run(sets: pa.Array) -> pa.Array:
+        out = []
+        for row in sets:
+            found = row.values.to_numpy().view(np.uint32)
+            order = np.argsort(counts.value[_slots(found)] << 32 | found)
+            out.append(found[order[: len(found) - math.ceil(threshold * len(found) - 1e-9) + 1]].view(np.int32))
+        return _lists(out, pa.int32())
+
+    return run
+
+
+def _rare_pairs(sets: DataFrame, labels: DataFrame, threshold: float, kept) -> DataFrame:
+    """Pairs (a, b) of different labels: every pair of ``sets`` of at least ``threshold`` is one of them.
+
+    Shingles are ordered by how many sets hold their slot, then by their hash.  Two sets of the
+    threshold share one of their first shingles, and at the first that they share enough shingles
+    must still follow in both.  A shingle of one label makes no pair; in the others the members of
+    all labels but the largest meet all of another label.
+    """
+    spark = sets.sparkSession
+    counts = np.zeros(1 << SLOT_BITS, np.int64)
+    for r in sets.select("shingles").mapInArrow(_slot_counts, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect():  # at most the slots
+        counts[r.slot] = min(r.n, 2**31 - 1)
+    first = F.arrow_udf(_prefixes(spark.sparkContext.broadcast(counts), threshold), "array<int>")
+    rows = sets.select("node", F.size("shingles").alias("size"), first(F.col("shingles")).alias("first")).join(labels, "node")
+    rows = kept(rows.select("node", "label", "size", F.posexplode("first").alias("at", "shingle")).select("node", "label", "size", (F.col("size") - F.col("at")).alias("rest"), "shingle"), "rarest")
+    by_label = rows.groupBy("shingle", "label").agg(F.count("*").alias("n"))
+    shared = by_label.groupBy("shingle").agg(F.count("*").alias("labels"), F.max(F.struct("n", "label"))["label"].alias("main")).filter("labels > 1")
+    rows = kept(rows.join(shared.select("shingle", "main"), "shingle"), "rarest-shared")
+    x, y = rows.filter("label <> main").alias("x"), rows.alias("y")
+    enough = F.least("x.rest", "y.rest") >= threshold / (1 + threshold) * (F.col("x.size") + F.col("y.size")) - 1e-9
+    met = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.label") != F.col("y.label")) & enough)
+    return met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+
+
 def signatures(docs: DataFrame, settings: Settings) -> DataFrame:
     """Written: doc_id, mark of the text, row number, digest of the words, bands, distinct shingles."""
     udf = F.arrow_udf(_features(settings), _FEATURES)
@@ -193,15 +250,16 @@ def _labels(rows: DataFrame, settings: Settings) -> DataFrame | None:
     hubs = members.groupBy("key").agg(F.max(F.struct("company", "node"))["node"].alias("pivot"))
     tried = kept(hubs, "pivots")
     pairs = members.join(tried, "key").filter("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    while True:
-        links = kept(_verified(pairs, sets, settings.threshold), "verified")
-        if links.isEmpty():
-            return labels
+    def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
         ends = links.join(labels.withColumnsRenamed({"node": "a", "label": "la"}), "a").join(labels.withColumnsRenamed({"node": "b", "label": "lb"}), "b")
         moved = components(ends.select(F.col("la").alias("a"), F.col("lb").alias("b")).filter("a <> b"))
         moved = moved.withColumnsRenamed({"node": "was", "label": "now"})
         labels = labels.join(moved, labels["label"] == moved["was"], "left").select("node", F.coalesce("now", "label").alias("label"))
-        labels = kept(labels, "labels")
+        return kept(labels, "labels")
+
+    now = members.filter("n > 2")
+    while not (links := kept(_verified(pairs, sets, settings.threshold), "verified")).isEmpty():
+        labels = joined(labels, links)
         # Buckets of more than two texts that are still apart.  Their members outside the largest
         # label meet more pivots, the untried ones with most company inside it and outside it.
         now = members.filter("n > 2").join(labels, "node")
@@ -214,6 +272,13 @@ def _labels(rows: DataFrame, settings: Settings) -> DataFrame | None:
         tried = kept(tried.union(turn.select("key", "pivot")), "tried")
         open_ = now.filter("apart").select("key", "node", "label")
         pairs = open_.join(turn, "key").filter("label <> own").select(F.least("pivot", "node").alias("a"), F.greatest("pivot", "node").alias("b")).distinct()
+    # what shares a split bucket may not have met: all of it does by its rarest shingles
+    left = kept(now.select("node").distinct(), "left")
+    if left.isEmpty():
+        return labels
+    apart = kept(sets.join(left, "node"), "left-shingles")
+    links = kept(_verified(_rare_pairs(apart, labels, settings.threshold, kept), apart, settings.threshold), "verified")
+    return labels if links.isEmpty() else joined(labels, links)
 
 
 def _classed(rows: DataFrame, settings: Settings) -> DataFrame:
