@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm import small
@@ -54,6 +55,18 @@ def test_pairs_among_many_texts_of_one_template(spark):
     assert len(set(want)) == 125 and [got[k] for k in range(len(texts))] == want
 
 
+def test_a_repeated_passage_hides_no_pair():
+    rng = random.Random(9)
+    missed = 0
+    for _ in range(60):
+        words = small.prose(rng, 150).split()
+        pair = [small.edited(rng, " ".join(words), 2), " ".join(words[:40] * 20 + words)]
+        if small.jaccard(*map(small.shingle_set, pair)) >= 0.8:
+            x, y = N._features(N.Settings())(pa.array(pair)).field("bands").to_pylist()
+            missed += not {*x} & {*y}
+    assert missed == 0
+
+
 def test_one_of_each_group_stays(spark):
     texts = corpus()
     docs = small.documents(spark, texts).withColumnRenamed("source", "digest")

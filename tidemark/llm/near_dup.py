@@ -5,7 +5,9 @@ count), five consecutive words are a shingle (all words of a shorter text), and
 1 + ln(occurrences).  ProbMinHash: each shingle is a Poisson process whose rate is its weight;
 each arrival falls on a random register, and a register keeps the shingle that arrives first.  A
 shingle stops as soon as its next arrival is later than every register's.  Two texts agree in a
-register with the probability Jaccard of their weighted shingles.
+register with the probability Jaccard of their weighted shingles.  That falls far below the
+Jaccard of the distinct shingles where one text repeats a passage, so a text with repeated shingles
+also has the bands of its distinct shingles, all of weight 1 (in other texts both are the same).
 
 Registers are banded.  Documents of one bucket are never paired with each other: all are held
 against one pivot of the bucket, the member with most company over all bands.  What is left
@@ -34,7 +36,11 @@ _U = np.uint64
 
 @dataclass(frozen=True)
 class Settings:
-    """With 25 bands of 5 a pair of similarity 0.8 is missed by all bands once in 20,000 times."""
+    """With 25 bands of 5 a pair of similarity 0.8 is missed by all bands once in 20,000 times.
+
+    Every text has the bands of its distinct shingles, so this holds for the similarity that is
+    verified, whatever is repeated.
+    """
 
     shingle: int = 5
     threshold: float = 0.8
@@ -96,6 +102,14 @@ def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return out.view(np.int64)
 
 
+def all_bands(found: np.ndarray, counts: np.ndarray, settings: Settings) -> np.ndarray:
+    """Band keys of the distinct shingles, and of the weighted ones where a shingle is repeated."""
+    if not len(found):
+        return np.zeros(0, np.int64)
+    weights = [np.ones(len(found))] + [weights_of(counts)] * bool(counts.max() > 1)
+    return np.unique(np.concatenate([band_keys(prob_minhash(found, w), settings.bands, settings.rows) for w in weights]))
+
+
 _FEATURES = "digest binary, n_shingles int, bands array<long>, shingles array<int>"
 
 
@@ -106,7 +120,7 @@ def _features(settings: Settings):
             words, found, counts = shingles(buf, settings.shingle)
             digests.append(blake2b(words.tobytes(), digest_size=16).digest())
             sizes.append(len(found))
-            bands.append(band_keys(prob_minhash(found, weights_of(counts)), settings.bands, settings.rows) if len(found) else np.zeros(0, np.int64))
+            bands.append(all_bands(found, counts, settings))
             sets.append(np.unique((found >> _U(32)).astype(np.uint32)).view(np.int32))
         return base.struct(
             digest=pa.array(digests, pa.binary()), n_shingles=pa.array(sizes, pa.int32()),
