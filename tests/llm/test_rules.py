@@ -3,6 +3,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm import small
 from tidemark.llm import quality_rules as Q
@@ -63,6 +64,21 @@ def test_prose_stays_and_strange_texts_go(spark):
     assert {r.doc_id for r in Q.kept_documents(small.documents(spark, good + bad)).collect()} == set(range(60))
 
 
+def test_documents_of_a_rare_language_stay(spark):
+    rng = random.Random(11)
+    prose = lambda words, n: " ".join(rng.choice(words) for _ in range(n))
+    large, rare = [small.word(rng) for _ in range(200)], ["".join(chr(0x4E00 + rng.randrange(900)) for _ in range(6)) for _ in range(60)]
+    docs = [(k, prose(large, 400), "en") for k in range(120)] + [(k, prose(rare, 100), "zh") for k in (200, 201)] + [(300, prose(large, 100).replace(" ", "%%% "), "zh")]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    refs = Q.references(df.filter("doc_id < 300"))
+    assert refs.langs == ("en",) and set(refs.own) == {"zh"}
+    rows = {r.doc_id: r for r in Q.judged(df, refs).collect()}
+    assert rows[200].kept and rows[201].kept and rows[200].char_distance < 0.1 and rows[200].word_distance < 0.4 and not rows[300].kept
+    assert {200, 201} <= {r.doc_id for r in Q.kept_documents(df.filter("doc_id < 300")).collect()}
+    other = Q.judged(df.filter("doc_id = 200").withColumn("lang", F.lit("xx")), refs).first()
+    assert other.kept and other.char_distance is None and other.word_distance is None
+
+
 def test_short_texts_pass_by_the_guards(spark):
     rows = Q.judged(small.documents(spark, ["UPPER CASE ONLY BUT SHORT A B C D E F G"] + [small.prose(random.Random(k), 100) for k in range(10)])).collect()
     assert rows[0].kept and rows[0].char_distance is None and rows[0].word_distance is None

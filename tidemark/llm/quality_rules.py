@@ -3,7 +3,8 @@
 The histograms of a document over character classes and over common words are compared with
 those of each language by the Jensen-Shannon distance.  The references come from all documents:
 the sums of the class histograms by ``lang``, and the words that hold at least ``min_share`` of
-a language's words (so there are at most 1 / min_share of them).
+a language's words (so there are at most 1 / min_share of them).  A document is held against the
+large languages and its own, however rare that is.
 """
 
 from __future__ import annotations
@@ -63,13 +64,18 @@ class Rules:
 
 @dataclass(frozen=True)
 class References:
-    """Histograms by language; ``words`` are the common words of all of them."""
+    """Histograms by language; ``words`` are the common words of all of them.
+
+    ``own`` has the class histogram and word shares of each language under ``min_lang_share``;
+    only its own documents are held against it.
+    """
 
     langs: tuple[str, ...] = ()
     chars: np.ndarray = field(default_factory=lambda: np.zeros((0, len(CLASSES))))
     words: dict[bytes, int] = field(default_factory=dict)
     #: langs x (words + 1): shares of the language's own common words, the rest in the last column.
     shares: np.ndarray = field(default_factory=lambda: np.zeros((0, 1)))
+    own: dict[str, tuple[np.ndarray, dict[bytes, float]]] = field(default_factory=dict)
 
 
 def distances(p: np.ndarray, qs: np.ndarray) -> np.ndarray:
@@ -125,8 +131,8 @@ _LOWER = bytes(bytewords.LOWER)
 def references(docs: DataFrame, rules: Rules = Rules()) -> References:
     """Language references from all documents; rows with a null lang or text count for none.
 
-    What reaches the driver is bounded: languages with at least ``min_lang_share`` of all words,
-    words with at least ``min_share`` of their language.  No documents, no references.
+    What reaches the driver is the class histogram of each language and its words of at least
+    ``min_share``, so at most 9 + 1 / min_share rows a language.  No documents, no references.
     """
     tallies = (
         docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
@@ -138,13 +144,24 @@ def references(docs: DataFrame, rules: Rules = Rules()) -> References:
     tallies = base.written(tallies, "language-tallies")  # once: the totals decide which words are common
     totals = tallies.filter("kind = -1").groupBy("lang").agg(F.sum("n").alias("total"))
     every = totals.agg(F.sum("total")).first()[0] or 0
-    known = totals.filter(F.col("total") >= every * rules.min_lang_share)
+    known = totals.withColumn("large", F.col("total") >= every * rules.min_lang_share)
     found = (
-        tallies.join(F.broadcast(known), "lang")  # at most 1 / min_lang_share rows
+        tallies.join(F.broadcast(known), "lang")  # one row a language
         .filter((F.col("kind") >= 0) | (F.col("n") >= F.col("total") * rules.min_share))
-        .select("lang", "kind", "word", "n", "total")
+        .select("lang", "kind", "word", "n", "total", "large")
         .collect()
     )
+    own: dict[str, tuple[np.ndarray, dict[bytes, float]]] = {}
+    for r in found:
+        if not r.large:
+            counts, common = own.setdefault(r.lang, (np.zeros(len(CLASSES)), {}))
+            if r.kind >= 0:
+                counts[r.kind] = r.n
+            else:
+                common[bytes(r.word)] = r.n / r.total
+    for counts, _ in own.values():
+        counts /= max(counts.sum(), 1)
+    found = [r for r in found if r.large]
     langs = tuple(sorted({r.lang for r in found}))
     words = {w: i for i, w in enumerate(sorted({bytes(r.word) for r in found if r.kind < 0}))}
     chars, shares = np.zeros((len(langs), len(CLASSES))), np.zeros((len(langs), len(words) + 1))
@@ -155,7 +172,7 @@ def references(docs: DataFrame, rules: Rules = Rules()) -> References:
             shares[langs.index(r.lang), words[bytes(r.word)]] = r.n / r.total
     chars /= np.maximum(chars.sum(axis=1, keepdims=True), 1)
     shares[:, -1] = 1 - shares.sum(axis=1)
-    return References(langs, chars, words, shares)
+    return References(langs, chars, words, shares, own)
 
 
 def repeated_words(ids: np.ndarray, n: int) -> int:
@@ -201,8 +218,23 @@ FIELDS = {
 }
 
 
-def judge(buf: np.ndarray, refs: References, rules: Rules) -> tuple:
-    """The measures of one text and the verdict; distances are null where a guard leaves them out."""
+def _word_distance(seen: dict[bytes, int], times: list[int], n: int, shares: dict[bytes, float]) -> float:
+    """Distance of the words of a text to those of one language."""
+    found = dict.fromkeys(shares, 0)
+    for w, k in seen.items():
+        if (low := w.translate(_LOWER)) in found:
+            found[low] += times[k]
+    p, q = np.array([*found.values(), 0.0]) / n, np.array([*shares.values(), 0.0])
+    p[-1], q[-1] = 1 - p.sum(), 1 - q.sum()
+    return float(distances(p, q[None, :])[0])
+
+
+def judge(buf: np.ndarray, refs: References, rules: Rules, lang: str | None = None) -> tuple:
+    """The measures of one text and the verdict; distances are null where a guard leaves them out.
+
+    They are also null where ``lang`` is a language without references; a null ``lang`` is held
+    against the large languages.
+    """
     raw = buf.tobytes()
     words = raw.split()
     ids, seen = word_ids(words)
@@ -213,10 +245,13 @@ def judge(buf: np.ndarray, refs: References, rules: Rules) -> tuple:
     repeats = repeated_words(ids, rules.window)
     failed = n < rules.min_words or 100 * repeats > rules.max_repeat_percent * n
     char_d = word_d = None
-    if len(refs.langs):
+    own_ref = refs.own.get(lang)
+    if len(refs.langs) and (lang is None or lang in refs.langs or own_ref):
         total = int(counts.sum())
         if total >= rules.min_chars:
             char_d = float(distances(counts / total, refs.chars).min())
+            if own_ref:
+                char_d = min(char_d, float(distances(counts / total, own_ref[0][None, :])[0]))
         if n >= rules.min_common_words:
             found = np.zeros(len(refs.words) + 1)
             times = np.bincount(ids, minlength=len(seen)).tolist()
@@ -227,6 +262,8 @@ def judge(buf: np.ndarray, refs: References, rules: Rules) -> tuple:
             own = np.where(refs.shares[:, :-1] > 0, found[:-1] / n, 0)
             hist = np.column_stack([own, 1 - own.sum(axis=1)])
             word_d = float(min(distances(h, q[None, :])[0] for h, q in zip(hist, refs.shares)))
+            if own_ref:
+                word_d = min(word_d, _word_distance(seen, times, n, own_ref[1]))
     passed = (char_d is None or char_d <= rules.max_char_distance) and (word_d is None or word_d <= rules.max_word_distance)
     return n, word_chars, symbols, duplicate_lines(raw), repeats, char_d, word_d, failed, passed and not failed
 
@@ -240,15 +277,19 @@ def judged(docs: DataFrame, refs: References | None = None, rules: Rules = Rules
     """
     refs = references(docs, rules) if refs is None else refs
     shared = docs.sparkSession.sparkContext.broadcast(refs)
-    run = base.per_text(lambda buf: judge(buf, shared.value, rules), list(FIELDS), list(FIELDS.values()))
+
+    def run(texts: pa.Array, langs: pa.Array) -> pa.Array:
+        own = iter(langs.to_pylist())
+        return base.per_text(lambda buf: judge(buf, shared.value, rules, next(own)), list(FIELDS), list(FIELDS.values()))(texts)
+
     kinds = {pa.int64(): "long", pa.float64(): "double", pa.bool_(): "boolean"}
     udf = F.arrow_udf(run, ", ".join(f"{n} {kinds[t]}" for n, t in FIELDS.items())).asNondeterministic()
-    return base.with_results(docs, udf(F.col("text")), list(FIELDS))
+    return base.with_results(docs, udf(F.col("text"), F.col("lang")), list(FIELDS))
 
 
 def kept_documents(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """The documents that pass, with the columns they had."""
     refs = references(docs, rules)
     shared = docs.sparkSession.sparkContext.broadcast(refs)
-    keep = F.arrow_udf(lambda texts: pa.array([judge(b, shared.value, rules)[-1] for b in base.byte_rows(texts)], pa.bool_()), "boolean")
-    return docs.filter(keep(F.col("text")))
+    keep = F.arrow_udf(lambda texts, langs: pa.array([judge(b, shared.value, rules, x)[-1] for b, x in zip(base.byte_rows(texts), langs.to_pylist())], pa.bool_()), "boolean")
+    return docs.filter(keep(F.col("text"), F.col("lang")))
