@@ -29,6 +29,17 @@ def test_pages(page, want):
     assert H.extract(page, WEIGHTS) == want
 
 
+@pytest.mark.parametrize("tag", ["<svg viewBox='0 0 1 1'/>", "<math/>", "<canvas />", "<object>", "<video>", "<audio>", "<select>", "<canvas>", "<title>", "<textarea>", "<noscript>", "<svg/><svg><text>label</text></svg>", "<select><select><option>a</select>"])
+def test_no_page_is_cut_at_an_element(tag):
+    page = f"<article><p>one two three</p>{tag}<p>four five six</p></article>"
+    assert H.extract(page, WEIGHTS) == "one two three four five six"
+
+
+def test_words_of_formulas_and_objects_count():
+    assert H.extract("<article><p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p><object><p>shown instead</p></object></article>", WEIGHTS) == "so x = 2 holds shown instead"
+    assert H.extract("<article><p>one two</p><svg><text>label</text></svg><select><option>choice</select><p>three</p></article>", WEIGHTS) == "one two three"
+
+
 def test_best_run_equals_brute_force():
     import random
 

@@ -25,7 +25,11 @@ from tidemark.llm import base
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 #: What stands in these is no markup; its text is not part of the page's text.
-RAW = frozenset("script style title textarea iframe noembed noframes xmp template noscript svg math object canvas audio video select".split())
+RAW = frozenset("script style title textarea iframe noembed noframes xmp template noscript".split())
+#: Never shown, even where their closing tag is missing.
+CODE = frozenset(("script", "style"))
+#: Elements whose words are no running text: labels, choices, and what stands in for a player.
+ASIDE = frozenset("svg canvas audio video select".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
 SIBLINGS = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr",), "th": ("tr",), "option": ("select",)}
 ARTICLE = frozenset(("article", "main"))
@@ -101,6 +105,7 @@ def pieces(page: str, weights: Weights | None = None, labelled: bool = False):
     known: dict = {}
     stack: list[tuple] = [("", 0.0, 0.0, False, (), False)]  # tag, low, high, in an article, names, content
     at, n = 0, len(page)
+    ends: dict[str, int] = {}  # of raw and aside elements: where the last closing tag that was looked up begins
     while at < n:
         m = _TOKEN.search(page, at)
         start = m.start() if m else n
@@ -113,7 +118,8 @@ def pieces(page: str, weights: Weights | None = None, labelled: bool = False):
         tag = m["tag"] or m["tag2"]
         if not tag:
             continue
-        tag, attrs = tag.lower(), (m["attrs"] or m["attrs2"] or "").strip().rstrip("/")
+        tag, attrs = tag.lower(), (m["attrs"] or m["attrs2"] or "").strip()
+        closed, attrs = attrs.endswith("/"), attrs.rstrip("/")
         if m["end"] or m["end2"]:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k][0] == tag:
@@ -122,11 +128,22 @@ def pieces(page: str, weights: Weights | None = None, labelled: bool = False):
             yield Piece(tag=tag)
             continue
         yield Piece(tag=tag)
-        if tag in RAW and not attrs.endswith("/"):
-            closing = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I).search(page, at)
-            at = closing.end() if closing else n
+        if tag in RAW and not closed:
+            closing = None
+            if ends.get(tag, 0) < n:
+                closing = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I).search(page, at)
+                ends[tag] = closing.start() if closing else n
+            at = closing.end() if closing else n if tag in CODE else at
             continue
-        if tag in VOID:
+        if tag in ASIDE:
+            # one that is not closed before the next of its name holds nothing
+            if not closed and ends.get(tag, 0) < n:
+                nearest = re.compile(rf"<(/?){tag}(?=[\s/>])", re.I).search(page, at)
+                ends[tag] = nearest.start() if nearest else n
+                closed = not nearest or not nearest[1]
+            else:
+                closed = True
+        if tag in VOID or closed and tag in ASIDE | {"math", "object"}:
             continue
         if tag in CLOSES_P:
             for k in range(len(stack) - 1, 0, -1):
@@ -241,6 +258,7 @@ def learned(pages_: list[str] | None = None, smoothing: float = 1.0) -> Weights:
     against = {n: r for n, r in odds(set()).items() if r <= -2}
     names = {n: r for n, r in odds(set(against)).items() if r > 0} | against
     share = {t: (tag_out[t] + 1) / (tag_in[t] + tag_out[t] + 2) for t in {*tag_in, *tag_out}}
+    names |= dict.fromkeys(ASIDE, -4.0)
     return Weights(names, plain=-0.25, tags={t: 0.2 * s**2 for t, s in share.items()}, other_tag=0.05)
 
 
