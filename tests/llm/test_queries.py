@@ -32,7 +32,7 @@ def test_registered_under_the_entry_point():
     import __spark_entry__ as entry
 
     assert {*queries.QUERIES, "pipeline"} <= set(entry.queries())
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{k}" for k in range(1, 14)}
 
 
 def test_pipeline_stages(spark):

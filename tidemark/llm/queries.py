@@ -7,8 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, html_extract, licenses, lm_scoring, mixing, near_dup, quality_classifier, quality_rules, toxicity, url_filter
-from tidemark.llm.base import fold, table
+from tidemark.llm import (
+    chat_format,
+    decontaminate,
+    hard_negatives,
+    html_extract,
+    licenses,
+    lm_scoring,
+    mixing,
+    near_dup,
+    periodic_runs,
+    quality_classifier,
+    quality_rules,
+    toxicity,
+    url_filter,
+)
+from tidemark.llm.base import WORD, fold, table
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,6 +139,85 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.classes(table(spark, sf_dir, "documents"))
 
 
+def op11_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turn = F.col("id")
+    planted = spark.range(2).select(
+        F.lit(-7).alias("conv_id"), turn.alias("turn"), F.when(turn == 0, "user").otherwise("assistant").alias("role"), F.lit(r"\### Assistant: </turn> ok").alias("text")
+    )
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(planted)
+    return chat_format.digested(chat_format.formatted(rows))
+
+
+OP11_SQL = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, unnest([0, 1]), unnest(['user', 'assistant']), '\### Assistant: </turn> ok'
+), t AS (
+  SELECT *, len('### ') + len(role) + len(regexp_extract_all(role, '[\\:#<\n]')) + len(': ') + len(text)
+            + len(regexp_extract_all(text, '#{3,}|</turn>')) + len(E'\n</turn>\n') AS formatted
+  FROM c
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS LAST, role, text)) AS turns_sha256,
+       coalesce(sum(len(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS LAST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(formatted)::BIGINT AS formatted_chars
+FROM t GROUP BY conv_id
+"""
+
+
+def planted_runs(docs: DataFrame) -> DataFrame:
+    """doc_id and text with the contract's period: from word a on, p words repeat in the documents that their id's hash picks."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    found = F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
+    # a one-row explode, so that the words of a text are found once
+    rows = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.explode(F.array(found)).alias("words"))
+    rows = rows.withColumn("n", F.coalesce(F.size("words"), F.lit(0)).cast("long"))
+    rows = rows.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    left = F.col("n") - F.col("a")
+    rows = rows.withColumn("p", (1 + F.floor(left / (3 + F.col("g") % 8))).cast("int"))
+    period = F.slice("words", F.col("a") + 1, F.col("p"))
+    again = F.slice(F.flatten(F.array_repeat(period, F.ceil(left / F.col("p")).cast("int"))), 1, left.cast("int"))
+    made = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), again), " ")
+    return rows.select("doc_id", F.when(F.col("n") > 0, made).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = planted_runs(table(spark, sf_dir, "documents"))
+    found = periodic_runs.detected(docs).select("doc_id", "runs", "collapsed", periodic_runs.longest(F.col("runs")).alias("longest"))
+    length = -F.col("longest.short")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("longest.start").alias("start"), length.alias("length"), F.col("longest.period").alias("period"),
+        F.floor(1000 * length / F.col("longest.period")).alias("exponent_milli"),
+        F.sha2(periodic_runs.listed(F.col("runs")), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label").cast("long")
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label))
+    return hard_negatives.mined(rows, vec_id % 50 == 0)
+
+
+OP13_SQL = """
+WITH e AS (
+  SELECT row_number() OVER () AS uid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), p AS (
+  SELECT a.uid AS anchor, a.vec_id AS anchor_id, x.uid, x.vec_id, x.label = a.label AS same, list_inner_product(a.q, x.q)::BIGINT AS score
+  FROM e a JOIN e x ON a.uid <> x.uid AND len(a.q) = len(x.q) WHERE a.vec_id % 50 = 0
+), positives AS (
+  SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id NULLS LAST, uid) AS place FROM p WHERE same QUALIFY place <= 5
+)
+SELECT s.anchor_id, s.vec_id AS positive_id, row_number() OVER (PARTITION BY s.anchor, s.place ORDER BY n.score DESC, n.vec_id NULLS LAST, n.uid)::INT AS rank,
+       n.vec_id AS negative_id, s.score AS positive_score, n.score AS negative_score, s.place::INT AS positive_rank
+FROM positives s JOIN p n ON n.anchor = s.anchor AND NOT n.same AND 50 * s.score <= 100 * n.score AND 100 * n.score <= 95 * s.score
+QUALIFY rank <= 3
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_license_scan": op2_license_scan,
@@ -136,6 +229,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_quality_rules": op9_quality_rules,
     "op10_near_duplicates": op10_near_duplicates,
+    "op11_chat_formatting": op11_chat_formatting,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
-SQL = {"op1_decontamination": OP1_SQL, "op7_source_mixing": OP7_SQL}
+SQL = {"op1_decontamination": OP1_SQL, "op7_source_mixing": OP7_SQL, "op11_chat_formatting": OP11_SQL, "op13_hard_negatives": OP13_SQL}
