@@ -1,5 +1,5 @@
 """Every operator as a query over the star-schema tables, with the SQL it must equal."""
 
-from tidemark.catalogue import feeds, history, quality, reports, runs
+from tidemark.catalogue import feeds, history, landed, quality, reports, runs
 
-ALL = {**feeds.QUERIES, **history.QUERIES, **quality.QUERIES, **reports.QUERIES, **runs.QUERIES}
+ALL = {**feeds.QUERIES, **history.QUERIES, **quality.QUERIES, **reports.QUERIES, **runs.QUERIES, **landed.QUERIES}

@@ -24,8 +24,11 @@ STAMP = "date_format({0}, \"yyyyMMdd'T'HHmmss'Z'\")"
 
 
 def named(df: DataFrame, file_name: str, value: str) -> DataFrame:
-    """(value, file_name) plus the context of the name, from SQL expressions."""
-    return documents.name_context(df.selectExpr(f"{value} AS value", f"{file_name} AS file_name"))
+    """(value, file_name) plus the context of the name, from SQL expressions.
+
+    Dealt out by name, as the files of a landing folder are, however few row groups the table has.
+    """
+    return documents.name_context(df.selectExpr(f"{value} AS value", f"{file_name} AS file_name").repartition("file_name"))
 
 
 # --- parallel arrays --------------------------------------------------------------

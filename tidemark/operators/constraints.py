@@ -86,6 +86,29 @@ def observed(df: DataFrame, rules: Sequence[Rule], extra: Sequence[Column] = (),
     return df.observe(observation, *columns), observation
 
 
+class StageCounts:
+    """Rows that pass named points of a run, counted by the jobs of the run itself.
+
+    ``at`` marks a point; ``add`` takes what a merge or a write has counted.  ``rows`` waits for
+    the jobs that pass the points.
+    """
+
+    def __init__(self):
+        self._points: dict[str, Observation | int] = {}
+
+    def at(self, stage: str, df: DataFrame) -> DataFrame:
+        self._points[stage] = observation = Observation()
+        return df.observe(observation, F.count(F.lit(1)).alias("rows"))
+
+    def add(self, counts: dict[str, int]) -> None:
+        self._points |= counts
+
+    def rows(self, spark) -> DataFrame:
+        """(step, stage, rows), one row per point in the order of the run."""
+        found = [(k, s, p if isinstance(p, int) else p.get["rows"]) for k, (s, p) in enumerate(self._points.items(), 1)]
+        return spark.createDataFrame(found, "step int, stage string, rows long")
+
+
 def broken(counts: dict, rules: Sequence[Rule]) -> dict:
     return {r.name: counts[r.name] for r in rules if counts.get(r.name)}
 

@@ -7,10 +7,11 @@ not blank a whole array.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import schemas
 from tidemark.functions import fixed_values as fixed
@@ -72,10 +73,13 @@ def parse_list(docs: DataFrame, schema: str) -> DataFrame:
     return parsed.select(*docs.columns, payload.alias("_payload"))
 
 
-def weather_rows(docs: DataFrame) -> DataFrame:
-    """Parallel daily arrays -> one typed row per (location, date), last one kept."""
+def weather_rows(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """Parallel daily arrays -> one typed row per (location, date), last one kept.
+
+    ``carry`` names columns of ``docs`` that the rows keep, such as ``historical``.
+    """
     daily = parse_object(docs, schemas.WEATHER_DOCUMENT, "daily").select(
-        F.col("first_token").alias("location_id"), "fetched_at", "file_name", F.col("_payload").alias("_daily")
+        F.col("first_token").alias("location_id"), "fetched_at", "file_name", *carry, F.col("_payload").alias("_daily")
     )
     arms = {
         "temp_min": F.col("_daily.temperature_2m_min"),
@@ -90,7 +94,8 @@ def weather_rows(docs: DataFrame) -> DataFrame:
     keys = schemas.STAGED_WEATHER.keys
     typed = conform(typed, schemas.STAGED_WEATHER.schema, only=keys)  # narrow sort and shuffle keys
     last = keep_last(typed, keys, ["fetched_at", "file_name", POSITION])
-    return conform(last, schemas.STAGED_WEATHER.schema)
+    kept = [f for f in last.schema.fields if f.name in carry]
+    return conform(last, T.StructType([*schemas.STAGED_WEATHER.schema.fields, *kept]))
 
 
 def most_accurate_speed(analyses: Column) -> Column:

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions import fixed_values as fixed
 from tidemark.functions.scalars import at, is_positive, label, value_range, with_lineage
-from tidemark.operators import audit, flatten, joins, merge
+from tidemark.operators import audit, constraints, flatten, joins, merge
 from tidemark.sources.documents import read_documents
 from tidemark.sources.seed import seed_locations as seed_location_rows
 from tidemark.sources.store import HistoryTable, Log, Snapshot
@@ -184,6 +188,19 @@ def load_weather(wh: Warehouse, folder, as_of, run_id=None, **replay) -> dict:
     return historize_weather(wh, as_of, run_id)
 
 
+def counted_weather_load(wh: Warehouse, folder, as_of, run_id=None, **replay) -> constraints.StageCounts:
+    """:func:`load_weather` with the rows in and out of each stage: documents read, days parsed, staged, resolved, and by merge state.
+
+    The points are counted by the two jobs that stage and merge; nothing is read again for them.
+    """
+    counts = constraints.StageCounts()
+    docs = counts.at("documents", read_documents(wh.spark, folder, **replay))
+    rows = counts.at("parsed", flatten.weather_rows(docs))
+    counts.add({"staged": wh.staged_weather.upsert(rows)["rows"]})
+    counts.add(historize_weather(wh, as_of, run_id))
+    return counts
+
+
 def load_events(wh: Warehouse, folder, as_of, run_id=None, **replay) -> dict:
     stage_events(wh, folder, **replay)
     return historize_events(wh, as_of, run_id)
@@ -206,6 +223,22 @@ def backfill(wh: Warehouse, weather, events, approaches, as_of, run_id=None) ->
     }
 
 
+def rejected(load: Callable[[], object]) -> str | None:
+    """Error class of a load that fails on its data; None if it goes through.
+
+    A value that does not fit its type, or a document of the wrong shape, stops the job that lands
+    the batch, so nothing of it is published.  The class is the innermost one of the error.
+    """
+    try:
+        load()
+    except (PySparkException, Py4JJavaError) as error:
+        found = re.findall(r"\[([A-Z][A-Z_]+)(?:\.[A-Z_]+)*\]", str(error))
+        if not found:
+            raise
+        return found[-1]
+    return None
+
+
 # --- audit --------------------------------------------------------------------
 
 

@@ -46,16 +46,34 @@ def name_context(df: DataFrame, file_name: str = "file_name") -> DataFrame:
     )
 
 
+#: Folder of a document that Spark itself landed; a folder can carry its name, a part file cannot.
+LANDED = "document"
+
+
+def land_documents(docs: DataFrame, folder: str) -> None:
+    """Write (value, file_name) rows into a landing folder, each as a file of its own.
+
+    Names must be unique.  A document lies in ``document=<file_name>/``, from where all readers
+    of this module take its name.  Tasks write the files; nothing is renamed or gathered.
+    """
+    docs.select("value", F.col("file_name").alias(LANDED)).write.mode("append").partitionBy(LANDED).text(folder)
+
+
+def _file_name() -> Column:
+    folder = F.regexp_extract("_metadata.file_path", f"/{LANDED}=([^/]+)/[^/]+$", 1)
+    return F.when(folder != "", folder).otherwise(F.col("_metadata.file_name"))
+
+
+def _files(reader, folder: str | Sequence[str]) -> DataFrame:
+    """(value, file_name, path) of the documents below ``folder``; one scan, small files packed together."""
+    # wholetext as an argument: as an option it is set back by the method's own default
+    raw = reader.text(folder, wholetext=True, recursiveFileLookup=True, pathGlobFilter="{*.json,part-*.txt}")
+    return raw.select("value", _file_name().alias("file_name"), F.col("_metadata.file_path").alias("path"))
+
+
 def _scan(reader, folder: str | Sequence[str]) -> DataFrame:
-    options = {"wholetext": "true", "recursiveFileLookup": "true", "pathGlobFilter": "*.json"}
-    raw = reader.options(**options).text(folder)
-    return name_context(
-        raw.select(
-            "value",
-            F.col("_metadata.file_name").alias("file_name"),
-            F.col("_metadata.file_path").contains("/historical/").alias("historical"),
-        )
-    )
+    docs = _files(reader, folder)
+    return name_context(docs.select("value", "file_name", F.contains("path", F.lit("/historical/")).alias("historical")))
 
 
 def read_documents(
@@ -87,18 +105,20 @@ def stream_documents(spark: SparkSession, folder: str, max_files: int | None = N
 def named_documents(spark: SparkSession, folders: Mapping[str, str]) -> DataFrame:
     """(name, value, fetched_at, file_name) of the documents of several feeds, for the key audit.
 
-    ``folders`` maps feed names to landing folders.  A feed whose file names start with an event
-    type has a name per type, such as ``space_weather_CME``; dates and ids are no types.
+    ``folders`` maps feed names to landing folders, none inside another.  All are one scan; a file's
+    path tells its feed.  A feed whose file names start with an event type has a name per type, such
+    as ``space_weather_CME``; dates and ids are no types.
     """
-    parts = []
-    for feed, folder in folders.items():
-        kind = F.upper("first_token")
-        typed = F.when(kind.isin(*fixed.EVENT_TYPES), F.concat(F.lit(f"{feed}_"), kind)).otherwise(F.lit(feed))
-        parts.append(_scan(spark.read, folder).select(typed.alias("name"), "value", "fetched_at", "file_name"))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    docs = name_context(_files(spark.read, list(folders.values())))
+    feed = F.coalesce(*[F.when(F.contains("path", F.lit(f"{_bare(folder)}/")), F.lit(name)) for name, folder in folders.items()])
+    kind = F.upper("first_token")
+    typed = F.when(kind.isin(*fixed.EVENT_TYPES), F.concat(feed, F.lit("_"), kind)).otherwise(feed)
+    return docs.select(typed.alias("name"), "value", "fetched_at", "file_name")
+
+
+def _bare(folder: str) -> str:
+    """A folder without scheme and host, as it stands in file paths."""
+    return "/" + folder.rstrip("/").split("://", 1)[-1].partition("/")[2] if "://" in folder else folder.rstrip("/").removeprefix("file:")
 
 
 def read_call_records(spark: SparkSession, folder: str) -> DataFrame:

@@ -181,9 +181,11 @@ class Snapshot(VersionedTable):
 class HistoryTable(VersionedTable):
     """Close-and-insert table."""
 
-    def merge(self, incoming: DataFrame, as_of, batch: tuple[str, int] | None = None, marks: dict | None = None) -> dict:
+    def merge(self, incoming: DataFrame, as_of, batch: tuple[str, int] | None = None, marks: dict | None = None, check_unique: bool = False) -> dict:
         """Close-and-insert ``incoming`` at ``as_of``; all or nothing.  Returns rows per state.
 
+        A staged snapshot is unique on its key; for other input say ``check_unique``.
+
         ``incoming`` must be cheap to read again (a staged snapshot): its slices are
         listed first, at most one name per slice of the calendar or hash.
         """
@@ -203,6 +205,7 @@ class HistoryTable(VersionedTable):
             table.tracked,
             at(as_of, T.TimestampType()),
             surrogate=table.surrogate,
+            check_unique=check_unique,
         )
         if table.surrogate:
             step = merge.assign_surrogates(step, table.surrogate, table.keys, F.lit(m["marks"].get("max_key", 0)))

@@ -47,8 +47,8 @@ def _instant(newest: int, batch: tuple[str, int], table: HistoryTable, *others:
     return F.timestamp_micros(F.lit(micros).cast("bigint"))
 
 
-def ingest_weather(wh: feeds.Warehouse, folder: str, checkpoint: str | None = None, max_files: int | None = None) -> StreamingQuery:
-    """Stage and version newly landed weather documents until none are left."""
+def apply_weather(wh: feeds.Warehouse, folder: str) -> Callable[[DataFrame, int], None]:
+    """What a micro-batch of weather documents does; a batch number that was applied before changes nothing."""
 
     def apply(docs: DataFrame, batch_id: int) -> None:
         batch = (f"weather-{_own(wh, folder)}", batch_id)
@@ -58,11 +58,11 @@ def ingest_weather(wh: feeds.Warehouse, folder: str, checkpoint: str | None = No
         wh.staged_weather.upsert(flatten.weather_rows(docs), batch)
         feeds.historize_weather(wh, _instant(newest, batch, wh.weather_daily), batch=batch)
 
-    return _start(wh, folder, "ingest_weather", checkpoint, max_files, apply)
+    return apply
 
 
-def ingest_events(wh: feeds.Warehouse, folder: str, checkpoint: str | None = None, max_files: int | None = None) -> StreamingQuery:
-    """Stage and version newly landed event lists until none are left."""
+def apply_events(wh: feeds.Warehouse, folder: str) -> Callable[[DataFrame, int], None]:
+    """What a micro-batch of event lists does; a batch number that was applied before changes nothing."""
 
     def apply(docs: DataFrame, batch_id: int) -> None:
         batch = (f"events-{_own(wh, folder)}", batch_id)
@@ -72,11 +72,11 @@ def ingest_events(wh: feeds.Warehouse, folder: str, checkpoint: str | None = Non
         wh.staged_events.upsert(flatten.event_rows(docs), batch)
         feeds.historize_events(wh, _instant(newest, batch, wh.space_events), batch=batch)
 
-    return _start(wh, folder, "ingest_events", checkpoint, max_files, apply)
+    return apply
 
 
-def ingest_approaches(wh: feeds.Warehouse, folder: str, checkpoint: str | None = None, max_files: int | None = None) -> StreamingQuery:
-    """Stage and version newly landed approach feeds, then their dimension."""
+def apply_approaches(wh: feeds.Warehouse, folder: str) -> Callable[[DataFrame, int], None]:
+    """What a micro-batch of approach feeds does: facts, then their dimension at the same instant."""
 
     def apply(docs: DataFrame, batch_id: int) -> None:
         batch = (f"approaches-{_own(wh, folder)}", batch_id)
@@ -87,7 +87,22 @@ def ingest_approaches(wh: feeds.Warehouse, folder: str, checkpoint: str | None =
         as_of = _instant(newest, batch, wh.close_approaches, wh.asteroids)
         feeds.historize_approaches(wh, as_of, batch=batch)
 
-    return _start(wh, folder, "ingest_approaches", checkpoint, max_files, apply)
+    return apply
+
+
+def ingest_weather(wh: feeds.Warehouse, folder: str, checkpoint: str | None = None, max_files: int | None = None) -> StreamingQuery:
+    """Stage and version newly landed weather documents until none are left."""
+    return _start(wh, folder, "ingest_weather", checkpoint, max_files, apply_weather(wh, folder))
+
+
+def ingest_events(wh: feeds.Warehouse, folder: str, checkpoint: str | None = None, max_files: int | None = None) -> StreamingQuery:
+    """Stage and version newly landed event lists until none are left."""
+    return _start(wh, folder, "ingest_events", checkpoint, max_files, apply_events(wh, folder))
+
+
+def ingest_approaches(wh: feeds.Warehouse, folder: str, checkpoint: str | None = None, max_files: int | None = None) -> StreamingQuery:
+    """Stage and version newly landed approach feeds, then their dimension."""
+    return _start(wh, folder, "ingest_approaches", checkpoint, max_files, apply_approaches(wh, folder))
 
 
 def running_success_rate(calls: DataFrame, late: str = "1 day", span: str = "7 days", slide: str = "1 day") -> DataFrame:
