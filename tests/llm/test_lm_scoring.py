@@ -77,7 +77,7 @@ def brute(rows):
 
 @pytest.mark.parametrize("min_share", [1e-5, 0.02, 2.0])
 def test_scores(spark, min_share):
-    """The base equals brute force, and the score the stated formula, whatever words count as frequent."""
+    """The base equals brute force, and the scores the stated formulas, whatever words count as frequent."""
     rng = random.Random(9)
     texts = small.odd_texts() + [small.prose(rng, 60) for _ in range(40)]
     docs = small.documents(spark, texts).withColumnRenamed("n_chars", "score")
@@ -87,22 +87,60 @@ def test_scores(spark, min_share):
     lat = L.Lattice.read(L.VOCABULARY)
     seen = [w for w in counts if w is not None]
     for _ in range(L.Settings().rounds):
-        lat = lat.reweighted(lat.expected(seen, np.ones(len(seen))), L.Settings().prior)
+        lat = lat.reweighted(lat.expected(seen, np.array([counts[w] for w in seen], float)), L.Settings().prior)
     for k, ws in tokens.items():
         r = rows[k]
         assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (zlib.crc32(str(k).encode()) % 5 == 1, len(ws), sum(counts[w] > 0 for w in ws), n)
         assert r.base_score == pytest.approx(base[k])
-        model = totals.model(np.array([counts[w] for w in ws[:-1]]), lat.marginals(ws[:-1])).sum() if len(ws) > 1 else 0
-        assert r.score == pytest.approx(model + totals.end())
+        marginals = lat.marginals(ws[:-1])
+        mixed = totals.interpolated(np.array([counts[w] for w in ws[:-1]]), marginals).sum() if len(ws) > 1 else 0
+        assert r.interpolated_score == pytest.approx(mixed + totals.end())
+        end = (counts[None] + 0.5) / (n + 1)
+        assert r.score == pytest.approx(marginals.sum() / math.log(10) + (len(ws) - 1) * math.log10(1 - end) + math.log10(end))
+
+
+@pytest.mark.parametrize("min_share", [1e-5, 0.2])
+def test_score_is_the_sum_over_all_segmentations(spark, monkeypatch, min_share):
+    """A small vocabulary: learned and summed up over every segmentation, in plain Python."""
+    monkeypatch.setattr(L.Lattice, "read", classmethod(lambda cls, path: lattice()))
+    rng = random.Random(12)
+    texts = [" ".join("".join(rng.choice("aabc") for _ in range(rng.randint(1, 5))) for _ in range(rng.randint(0, 12))) for _ in range(25)]
+    settings = L.Settings(min_share=min_share, prior=3.0)
+    rows = {r.doc_id: r.score for r in L.scored(small.documents(spark, texts), settings).collect()}
+    tokens, counts, n, _ = brute(list(enumerate(texts)))
+    p = dict(zip(PIECES, np.exp(lattice().logs[2:])))
+    chance = lambda seg: math.prod(p[x] for x in seg)
+    for _ in range(settings.rounds):
+        found = Counter({x: settings.prior * p[x] for x in PIECES})
+        for word, times in counts.items():
+            segs = list(segmentations("▁" + word)) if word else []
+            for seg in segs:
+                for x in seg:
+                    found[x] += times * chance(seg) / sum(map(chance, segs))
+        p = {x: found[x] / sum(found.values()) for x in PIECES}
+    end = (counts[None] + 0.5) / (n + 1)
+    for k, words in tokens.items():
+        want = math.log10(end) + sum(math.log10((1 - end) * sum(map(chance, segmentations("▁" + w)))) for w in words[:-1])
+        assert rows[k] == pytest.approx(want)
+
+
+def test_words_that_only_held_out_texts_have_are_scored_in_place(spark):
+    held = [k for k in range(400) if zlib.crc32(str(k).encode()) % 5 == 1][:60]
+    docs = spark.createDataFrame([(k, "seen twice" if k not in held else "never " * 50) for k in range(400)], "doc_id long, text string")
+    scores, totals = L.learned(docs)
+    (row,) = scores.filter("decode(word, 'utf-8') = 'never'").collect()
+    assert (row.n, row.total) == (0, 3000) and row.total > totals.occurrences * L.Settings().min_share
+    rows = L.scored(docs).filter("held_out").limit(5).collect()
+    assert all(r.n_known == 1 + 2 * (r.n_tokens == 3) for r in rows)
 
 
 def test_probabilities_of_words_and_end_sum_to_at_most_one():
     lat = lattice()
     totals = L.Totals(tokens=100, ends=10, words=3, discount=0.6)
     known = ["a", "ab", "cab"]
-    mass = (10 ** totals.model(np.array([50, 30, 10]), lat.marginals(known))).sum() + 10 ** totals.end()
+    mass = (10 ** totals.interpolated(np.array([50, 30, 10]), lat.marginals(known))).sum() + 10 ** totals.end()
     others = [x + y + z for x in "abc" for y in "abc" for z in ("", "a", "b", "c") if x + y + z not in known]
-    assert 0.9 < mass + (10 ** totals.model(np.zeros(len(others)), lat.marginals(others))).sum() <= 1 + 1e-9
+    assert 0.9 < mass + (10 ** totals.interpolated(np.zeros(len(others)), lat.marginals(others))).sum() <= 1 + 1e-9
 
 
 def test_empty_table_and_no_training_documents(spark):

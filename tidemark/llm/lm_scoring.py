@@ -2,22 +2,25 @@
 
 The pieces and scores of an existing vocabulary (a SentencePiece file, read where it lies) give
 each piece a prior probability.  A word is all ways to cut it into pieces: a log-space forward
-recursion over its positions sums them up to the word's marginal probability.  Rounds of expectation over all distinct training words (the
-same lattice, forward and backward; each word once, as the lattice is for words not seen before)
-re-weight the pieces to the corpus; the pieces themselves stay as they are.
+recursion over its positions sums them up to the word's marginal probability.  Rounds of
+expectation over all training words, each as often as it occurs (the same lattice, forward and
+backward), re-weight the pieces to the corpus; the pieces themselves stay as they are.
 
-Word counts of the training documents are interpolated with that marginal by absolute
-discounting, so a new word gets what the discounts leave, shared out by the lattice:
+The score of a text is the product of its words' marginals and its end:
 
-    P(w)   = (max(c - D, 0) + (D T + 1/2) lattice(w)) / (N + 1)
-    P(end) = (c_end + 1/2) / (N + 1)
+    P(text) = P(end) * product of (1 - P(end)) lattice(w),    P(end) = (c_end + 1/2) / (N + 1)
+
+A further column interpolates the marginals with word counts by absolute discounting, so a
+new word gets what the discounts leave, shared out by the lattice:
+
+    P'(w) = (max(c - D, 0) + (D T + 1/2) lattice(w)) / (N + 1)
 
 with c the count of w, T the number of distinct training words, N all training tokens and D from
 the numbers of words seen once and twice.
 
-Marginals are worked out once for each distinct word.  Words of at least ``min_share`` of the
-training tokens (so at most 1 / min_share of them) are scored where the text is; only the others
-are sent by word to their scores.
+Marginals are worked out once for each distinct word.  Words of at least ``min_share`` of all
+tokens (so at most 1 / min_share of them) are scored where the text is; only the others are
+sent by word to their scores.
 """
 
 from __future__ import annotations
@@ -232,25 +235,23 @@ def _by_length(words: list[str], mark: str = START):
 
 
 def _word_counts(batches):
-    """(word, count in training documents) of one task; words seen elsewhere only have count 0."""
+    """(word, count in training documents, count in all) of one task."""
     trained: Counter = Counter()
-    others: set[bytes] = set()
+    others: Counter = Counter()
 
     def flush():
         words = list(trained) + [w for w in others if w not in trained]
         for a in range(0, len(words), 50_000):
             part = words[a : a + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.binary()), pa.array([trained.get(w, 0) for w in part], pa.int64())], names=["word", "n"])
+            n = [trained.get(w, 0) for w in part]
+            total = [k + others.get(w, 0) for w, k in zip(part, n)]
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.binary()), pa.array(n, pa.int64()), pa.array(total, pa.int64())], names=["word", "n", "total"])
         trained.clear()
         others.clear()
 
     for batch in batches:
         for train, buf in zip(batch.column("train").to_pylist(), base.byte_rows(batch.column("text"))):
-            words = buf.tobytes().translate(_LOWER).split()
-            if train:
-                trained.update(words)
-            else:
-                others.update(words)
+            (trained if train else others).update(buf.tobytes().translate(_LOWER).split())
         if len(trained) + len(others) > 500_000:
             yield from flush()
     yield from flush()
@@ -263,7 +264,7 @@ def _expectation(shared):
         for batch in batches:
             words = [w.decode("utf-8", "replace") for w in batch.column("word").to_pylist()]
             if words:
-                total += lattice.expected(words, np.ones(len(words)))
+                total += lattice.expected(words, batch.column("n").to_numpy().astype(np.float64))
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at])], names=["piece", "expected"])
 
@@ -276,13 +277,19 @@ class Totals:
     ends: int
     words: int
     discount: float
+    #: Words of all documents, also those that are not learned from.
+    occurrences: int = 0
 
     def base(self, count):
         """log10 of the add-half estimate."""
         return np.log10((count + 0.5) / (self.tokens + 0.5 * (self.words + (1 if self.ends else 0) + 1)))
 
-    def model(self, count: np.ndarray, marginal: np.ndarray) -> np.ndarray:
-        """log10 of P(w)."""
+    def marginal(self, marginal: np.ndarray) -> np.ndarray:
+        """log10 of a word's share: no end, and the lattice's marginal."""
+        return (math.log1p(-(10 ** self.end())) + marginal) / math.log(10)
+
+    def interpolated(self, count: np.ndarray, marginal: np.ndarray) -> np.ndarray:
+        """log10 of P'(w)."""
         left = math.log(self.discount * self.words + 0.5)
         with np.errstate(divide="ignore"):
             seen = np.log(np.maximum(count - self.discount, 0))
@@ -292,30 +299,35 @@ class Totals:
         return math.log10((self.ends + 0.5) / (self.tokens + 1))
 
 
+_SCORES = "word binary, n long, total long, base double, score double, mixed double"
+
+
 def _word_scores(shared, totals: Totals):
     def run(batches):
         lattice = shared.value
         for batch in batches:
             raw, n = batch.column("word"), batch.column("n").to_numpy()
             marginal = lattice.marginals([w.decode("utf-8", "replace") for w in raw.to_pylist()]) if len(n) else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([raw, pa.array(n), pa.array(totals.base(n), pa.float64()), pa.array(totals.model(n, marginal), pa.float64())], names=["word", "n", "base", "model"])
+            found = [totals.base(n), totals.marginal(marginal), totals.interpolated(n, marginal)]
+            yield pa.RecordBatch.from_arrays([raw, batch.column("n"), batch.column("total"), *[pa.array(x, pa.float64()) for x in found]], names=["word", "n", "total", "base", "score", "mixed"])
 
     return run
 
 
-_PARTS = "n_tokens long, known long, base double, model double, words array<binary>, times array<int>"
+_SUMS = ("base", "score", "mixed")
+_PARTS = "n_tokens long, known long, base double, score double, mixed double, words array<binary>, times array<int>"
 
 
 def _doc_parts(shared, totals: Totals):
     """Sums over the frequent words of a text, and its other words."""
-    end_base, end_model = float(totals.base(totals.ends)), totals.end()
+    ends = float(totals.base(totals.ends)), totals.end(), totals.end()
 
     def run(texts: pa.Array) -> pa.Array:
         frequent = shared.value
         rows = []
         for buf in base.byte_rows(texts):
             counts = Counter(buf.tobytes().translate(_LOWER).split())
-            known, b, m = int(totals.ends > 0), end_base, end_model
+            known, (b, s, m) = int(totals.ends > 0), ends
             rest, times = [], []
             for w, k in counts.items():
                 at = frequent.get(w)
@@ -323,29 +335,31 @@ def _doc_parts(shared, totals: Totals):
                     rest.append(w)
                     times.append(k)
                 else:
-                    known += k
-                    b += k * at[0]
-                    m += k * at[1]
-            rows.append((sum(counts.values()) + 1, known, b, m, rest, times))
-        kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int32())]
+                    known += k * at[0]
+                    b += k * at[1]
+                    s += k * at[2]
+                    m += k * at[3]
+            rows.append((sum(counts.values()) + 1, known, b, s, m, rest, times))
+        kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int32())]
         columns = list(zip(*rows)) if rows else [[]] * len(kinds)
-        return base.struct(**{n: pa.array(list(c), t) for n, c, t in zip(("n_tokens", "known", "base", "model", "words", "times"), columns, kinds)})
+        return base.struct(**{n: pa.array(list(c), t) for n, c, t in zip(("n_tokens", "known", *_SUMS, "words", "times"), columns, kinds)})
 
     return run
 
 
 def learned(docs: DataFrame, settings: Settings = Settings()) -> tuple[DataFrame, Totals]:
-    """Scores (word, n, base, model) of every word of ``docs``, written, and the totals of the training documents."""
+    """Scores of every word of ``docs``, written, and the totals of the training documents."""
     spark = docs.sparkSession
     train = base.fold("doc_id", settings.folds) != settings.held_out
-    counted = docs.select("text", train.alias("train")).mapInArrow(_word_counts, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counted = docs.select("text", train.alias("train")).mapInArrow(_word_counts, "word binary, n long, total long")
+    counted = counted.groupBy("word").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
     words = base.written(counted, "word-counts")
-    sums = words.agg(F.sum("n"), F.count_if(F.col("n") > 0), F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)).first()
+    sums = words.agg(F.sum("n"), F.count_if(F.col("n") > 0), F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2), F.sum("total")).first()
     ends = docs.filter(train).count()
     once, twice = sums[2], sums[3]
-    totals = Totals((sums[0] or 0) + ends, ends, sums[1], once / (once + 2 * twice) if once and twice else 0.5)
+    totals = Totals((sums[0] or 0) + ends, ends, sums[1], once / (once + 2 * twice) if once and twice else 0.5, sums[4] or 0)
     lattice = Lattice.read(settings.vocabulary)
-    seen = words.filter("n > 0").select("word")
+    seen = words.filter("n > 0").select("word", "n")
     for _ in range(settings.rounds):
         shared = spark.sparkContext.broadcast(lattice)
         expected = seen.mapInArrow(_expectation(shared), "piece long, expected double").groupBy("piece").agg(F.sum("expected").alias("expected"))
@@ -354,38 +368,39 @@ def learned(docs: DataFrame, settings: Settings = Settings()) -> tuple[DataFrame
             counts[r.piece] = r.expected
         lattice = lattice.reweighted(counts, settings.prior)
     fitted = spark.sparkContext.broadcast(lattice)
-    scores = words.mapInArrow(_word_scores(fitted, totals), "word binary, n long, base double, model double")
+    scores = words.mapInArrow(_word_scores(fitted, totals), _SCORES)
     return base.written(scores, "word-scores"), totals
 
 
 def scored(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
+    """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, interpolated_score.
 
     Scores are log10 of the probability of the text and its end.  A null or empty text is its end
     alone; a null id counts as empty text in the fold.  Each of several equal rows is scored and
-    trained on.  Without training documents the lattice with its prior weights scores alone.
+    trained on.  Without training documents the lattice with its prior weights scores alone; no
+    documents, no rows.  A text is counted whole, in memory that grows with its distinct words.
     """
     spark = docs.sparkSession
     scores, totals = learned(docs, settings)
-    limit = max(1.0, totals.tokens * settings.min_share)
-    top = scores.filter(F.col("n") >= limit).select("word", "base", "model").toArrow()  # at most 1 / min_share
-    frequent = dict(zip(top["word"].to_pylist(), zip(top["base"].to_pylist(), top["model"].to_pylist())))
+    limit = max(1.0, totals.occurrences * settings.min_share)
+    top = scores.filter(F.col("total") >= limit).select("word", (F.col("n") > 0).cast("int").alias("known"), *_SUMS).toArrow()  # at most 1 / min_share
+    frequent = dict(zip(top["word"].to_pylist(), zip(*(top[c].to_pylist() for c in ("known", *_SUMS)))))
     parts = F.arrow_udf(_doc_parts(spark.sparkContext.broadcast(frequent), totals), _PARTS)
     rows = docs.select("doc_id", F.monotonically_increasing_id().alias("row_id"), parts(F.col("text")).alias("p"))
     rows = base.written(rows.select("doc_id", "row_id", "p.*"), "text-parts")
     rare = rows.select("row_id", F.explode(F.arrays_zip("words", "times")).alias("x")).select("row_id", F.col("x.words").alias("word"), F.col("x.times").alias("k"))
-    joined = rare.join(scores.filter(F.col("n") < limit), "word")
-    sums = joined.groupBy("row_id").agg(
-        F.sum(F.when(F.col("n") > 0, F.col("k")).otherwise(0)).alias("rare_known"), F.sum(F.col("k") * F.col("base")).alias("rare_base"), F.sum(F.col("k") * F.col("model")).alias("rare_model")
-    )
-    whole = rows.select("doc_id", "row_id", "n_tokens", "known", "base", "model").join(sums, "row_id", "left")
-    none = F.lit(0)
+    joined = rare.join(scores.filter(F.col("total") < limit), "word")
+    known = F.sum(F.when(F.col("n") > 0, F.col("k")).otherwise(0)).alias("rare_known")
+    sums = joined.groupBy("row_id").agg(known, *[F.sum(F.col("k") * F.col(c)).alias(f"rare_{c}") for c in _SUMS])
+    whole = rows.select("doc_id", "row_id", "n_tokens", "known", *_SUMS).join(sums, "row_id", "left")
+    with_rare = lambda c: F.col(c) + F.coalesce(f"rare_{c}", F.lit(0))
     return whole.select(
         "doc_id",
         (base.fold("doc_id", settings.folds) == settings.held_out).alias("held_out"),
         "n_tokens",
-        (F.col("known") + F.coalesce("rare_known", none)).alias("n_known"),
+        with_rare("known").alias("n_known"),
         F.lit(totals.tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("rare_base", none)).alias("base_score"),
-        (F.col("model") + F.coalesce("rare_model", none)).alias("score"),
+        with_rare("base").alias("base_score"),
+        with_rare("score").alias("score"),
+        with_rare("mixed").alias("interpolated_score"),
     )
