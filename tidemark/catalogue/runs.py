@@ -11,7 +11,7 @@ from tidemark.catalogue.feeds import EVENT_UNION_SQL, mixed_documents
 from tidemark.catalogue.reports import CALLS_CTE, calls
 from tidemark.operators import constraints, flatten
 from tidemark.plans import feeds
-from tidemark.session import fresh_folder
+from tidemark.session import fresh_folder, written
 from tidemark.sources import documents
 from tidemark.streaming import ingest
 
@@ -22,14 +22,21 @@ def warehouse(spark) -> feeds.Warehouse:
     return feeds.Warehouse(spark, fresh_folder(spark, "warehouse"))
 
 
+def dated_events(spark, sf) -> DataFrame:
+    """Event rows, parsed once, under ids that begin with a date: five months, by the number of the event."""
+    rows = flatten.event_rows(mixed_documents(spark, sf)).drop("first_token", "window_start")
+    month = F.add_months(F.lit("2024-01-01").cast("date"), (F.col("event_id").cast("bigint") % 5).cast("int"))
+    return written(rows.withColumn("event_id", F.concat_ws("-", month.cast("string"), "event_id")), "events")
+
+
 def store_two_batches(spark, sf):
-    """Event documents in two batches through staging into history; the second moves some storms and brings new ids.
+    """Events in two batches through staging into history; the second moves some storms, brings new ids and touches three of five months.
 
     A batch that breaks a rule in between leaves staging and history as they were.
     """
-    wh = warehouse(spark)
-    rows = flatten.event_rows(mixed_documents(spark, sf)).drop("first_token", "window_start")
-    wh.staged_events.upsert(rows.where("cast(event_id AS BIGINT) % 3 <> 0"))
+    wh, rows = warehouse(spark), dated_events(spark, sf)
+    number = F.substring_index("event_id", "-", -1).cast("bigint")
+    wh.staged_events.upsert(rows.where(number % 3 != 0))
     feeds.historize_events(wh, moment(T1).cast("timestamp"), "run 1")
     broken = rows.withColumn("fetched_at", F.when(F.col("event_type") != "GST", F.col("fetched_at")))
     try:
@@ -37,21 +44,25 @@ def store_two_batches(spark, sf):
         raise AssertionError("a batch that breaks a rule was staged")
     except constraints.ConstraintError:
         pass
+    before = wh.space_events.manifest()["current"]
     moved = F.when(F.col("event_type") == "GST", F.col("kp_index") + F.when(F.col("kp_index") < 5, 1).otherwise(0)).otherwise(F.col("kp_index"))
-    wh.staged_events.upsert(rows.withColumn("kp_index", moved.cast("decimal(4,2)")))
+    wh.staged_events.upsert(rows.where(number % 5 < 3).withColumn("kp_index", moved.cast("decimal(4,2)")))
     feeds.historize_events(wh, moment(T2).cast("timestamp"), "run 2")
     feeds.historize_events(wh, moment(T3).cast("timestamp"), "run 3")  # nothing new is staged
+    after = wh.space_events.manifest()["current"]
+    rewritten = F.array(*[F.lit(s) for s in sorted(after) if after[s] != before.get(s)]).cast("array<string>")
     kept = ["event_id", "event_type", "event_time", "kp_index", "flare_class", "pipeline_run_id", "open_date", "close_date"]
-    return shown(wh.space_events.read().select(*kept))
+    return shown(wh.space_events.read().select(*kept).withColumn("rewritten_slice", F.array_contains(rewritten, F.left("event_id", F.lit(7)))))
 
 
 TWO_BATCHES_SQL = f"""
 WITH e AS ({EVENT_UNION_SQL}),
-n AS (SELECT *, CASE WHEN event_type = 'GST' AND kp_index < 5 THEN kp_index + 1 ELSE kp_index END AS moved, CAST(event_id AS BIGINT) % 3 <> 0 AS early FROM e)
+n AS (SELECT * REPLACE ('2024-0' || (1 + CAST(event_id AS BIGINT) % 5) || '-01-' || event_id AS event_id), CASE WHEN event_type = 'GST' AND kp_index < 5 THEN kp_index + 1 ELSE kp_index END AS moved,
+             CAST(event_id AS BIGINT) % 3 <> 0 AS early, CAST(event_id AS BIGINT) % 5 < 3 AS late FROM e)
 SELECT event_id, event_type, event_time, kp_index, flare_class, 'run 1' AS pipeline_run_id, '{T1}' AS open_date,
-       CASE WHEN kp_index IS DISTINCT FROM moved THEN '{T2}' END AS close_date FROM n WHERE early
+       CASE WHEN late AND kp_index IS DISTINCT FROM moved THEN '{T2}' END AS close_date, late AS rewritten_slice FROM n WHERE early
 UNION ALL
-SELECT event_id, event_type, event_time, moved, flare_class, 'run 2', '{T2}', NULL FROM n WHERE NOT early OR kp_index IS DISTINCT FROM moved
+SELECT event_id, event_type, event_time, moved, flare_class, 'run 2', '{T2}', NULL, true FROM n WHERE late AND (NOT early OR kp_index IS DISTINCT FROM moved)
 """
 
 
