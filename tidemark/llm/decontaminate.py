@@ -136,7 +136,9 @@ def scanned(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_w
 
     One pass over the texts for each block of the benchmark; rows are never moved.  A null or
     empty text has no words; an item of null text has no window; an item of null id is found
-    but names no id.  Items of the same id count as one.  Repeated rows are each scanned.
+    but names no id.  Items of the same id count as one.  Repeated rows are each scanned.  A very
+    long text is scanned whole; no documents give no rows, and without items nothing is hit.  An item
+    may have about a million different words.
     """
     spark = docs.sparkSession
     parts = []

@@ -107,7 +107,12 @@ def fit(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, training:
 
 
 def learned(docs: DataFrame, labels: DataFrame, column: str = "quality", training: Training = Training()) -> Model:
-    """Model of ``column`` from labelled rows outside fold 0; with less than two labels a constant one."""
+    """Model of ``column`` from labelled rows outside fold 0; with less than two labels a constant one.
+
+    Null labels, ids and texts are left out, and so are texts longer than the sample allows.  A row
+    that is given several times may be drawn several times; ties of the sample go by the hash of id and
+    text, so reruns agree.  Empty tables give the constant model.
+    """
     sample, counts = drawn(docs, labels, column, training.sample)
     total = sum(counts.values())
     prior = (counts.get(1, 0) + 1) / (total + 2)
@@ -140,7 +145,10 @@ def score(buf: np.ndarray, model: Model) -> float:
 
 
 def score_column(docs: DataFrame, model: Model) -> Column:
-    """Score of ``text``, 0 to 1, higher where label 1 is likelier; of a null or empty text the share of label 1."""
+    """Score of ``text``, 0 to 1, higher where label 1 is likelier; of a null or empty text the share of label 1.
+
+    Equal texts have equal scores.  A very long text is scored whole, block by block.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(texts: pa.Array) -> pa.Array:

@@ -155,7 +155,9 @@ def judged(pages: DataFrame, model: Model | None = None, rules: Sequence[Rule] =
     """``pages`` with host, path, probability (that it is unwanted), rule and verdict; such columns are replaced.
 
     A null url, or one without ``://``, has empty host and path; no rule fits it, and the bias
-    of the model alone decides.  Rows are judged one by one and never moved.
+    of the model alone decides.  Rows are judged one by one and never moved: equal rows get equal
+    verdicts, and an empty table gives none.  A very long URL is judged whole.  Of several rules that
+    fit at the same length the first one counts.
     """
     shared = pages.sparkSession.sparkContext.broadcast(model or trained(labelled_urls()))
 
