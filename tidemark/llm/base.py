@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: A word of the contracts that split at ASCII white space.
@@ -56,6 +56,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """:func:`written`, and the rows, counted by the job that writes them."""
+    seen = Observation()
+    out = written(df.observe(seen, F.count(F.lit(1)).alias("rows")), name)
+    return out, seen.get["rows"]
+
+
 def struct(**columns) -> pa.StructArray:
     return pa.StructArray.from_arrays([pa.array(v) if not isinstance(v, pa.Array) else v for v in columns.values()], names=list(columns))
 

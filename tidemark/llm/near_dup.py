@@ -25,7 +25,8 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
@@ -136,37 +137,54 @@ def _lists(rows: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, kind))
 
 
-#: Rows of links, members and labels that one task works on.  Their tables are read with so many
-#: tasks; where one is enough, its joins need no exchange.
-ROWS_PER_TASK = 250_000
-
-
-def _tasks(df: DataFrame) -> int:
-    return max(1, math.ceil(df.count() / ROWS_PER_TASK))
-
-
 def components(links: DataFrame) -> DataFrame:
     """(node, label) of all nodes of ``links`` (a, b): equal labels where a path joins them.
 
-    Least labels spread along links and jump to their own label's label; each round is a
-    written table, and only counts reach the driver.
+    Least labels spread along links and jump to their own label's label; each round is one
+    written table, and only the count of labels that moved reaches the driver.
     """
     both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     both = base.written(both.distinct(), "links")
-    tasks = _tasks(both)
-    both = both.coalesce(tasks)
-    labels = base.written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("label")), "labels").coalesce(tasks)
+    labels = base.written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("label")), "labels")
     while True:
         near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("label").alias("near"))
         spread = labels.join(near, labels["node"] == near["a"], "left").select("node", F.least("label", "near").alias("label"), F.col("label").alias("old"))
         spread = spread.alias("x").join(labels.alias("y"), F.col("x.label") == F.col("y.node"), "left")
-        spread = base.written(spread.select("x.node", F.least("x.label", "y.label").alias("label"), "x.old"), "labels").coalesce(tasks)
-        moved = not spread.filter("label <> old").isEmpty()
-        labels = spread.select("node", "label")
-        if not moved:
+        seen = Observation()
+        spread = spread.select("x.node", F.least("x.label", "y.label").alias("label"), "x.old").observe(seen, F.count_if(F.col("label") != F.col("old")).alias("moved"))
+        labels = base.written(spread.drop("old"), "labels")
+        if not seen.get["moved"]:
             return labels
 
 
+#: Bits of a sieve: 2 MB, whatever the number of rows.
+SIEVE_BITS = 24
+
+
+def _sieve_words(wanted: DataFrame) -> DataFrame:
+    slot = F.pmod(F.xxhash64("row_id"), F.lit(1 << SIEVE_BITS))
+    bit = F.expr("shiftleft(1L, cast(slot & 63 AS INT))")
+    return wanted.select(slot.alias("slot")).select(F.shiftright("slot", 6).alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+
+
+def _sifted(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``rows`` without most of those whose row_id is not among ``wanted``; a join sorts out the rest.
+
+    One bit for each slot of a hash, so the sieve has one size; the more rows are wanted, the more others
+    it lets through, up to all.
+    """
+    found = _sieve_words(wanted).toArrow()  # at most 2 ** (SIEVE_BITS - 6) words
+    bits = np.zeros(1 << SIEVE_BITS - 6, np.int64)
+    bits[found["word"].to_numpy()] = found["bits"].to_numpy()
+    shared = rows.sparkSession.sparkContext.broadcast(bits)
+
+    def passes(slots: pa.Array) -> pa.Array:
+        slot = slots.to_numpy()
+        return pa.array(shared.value[slot >> 6] >> (slot & 63) & 1 == 1)
+
+    return rows.filter(F.arrow_udf(passes, "boolean")(F.pmod(F.xxhash64("row_id"), F.lit(1 << SIEVE_BITS))))
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b) whose distinct shingles have a Jaccard similarity of at least ``threshold``."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
@@ -208,7 +226,7 @@ def _prefixes(counts, threshold: float):
     return run
 
 
-def _rare_pairs(sets: DataFrame, labels: DataFrame, threshold: float, kept) -> DataFrame:
+def _rare_pairs(sets: DataFrame, labels: DataFrame, threshold: float) -> DataFrame:
     """Pairs (a, b) of different labels: every pair of ``sets`` of at least ``threshold`` is one of them.
 
     Shingles are ordered by how many sets hold their slot, then by their hash.  Two sets of the
@@ -218,14 +236,14 @@ def _rare_pairs(sets: DataFrame, labels: DataFrame, threshold: float, kept) -> D
     """
     spark = sets.sparkSession
     counts = np.zeros(1 << SLOT_BITS, np.int64)
-    for r in sets.select("shingles").mapInArrow(_slot_counts, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect():  # at most the slots
-        counts[r.slot] = min(r.n, 2**31 - 1)
+    found = sets.select("shingles").mapInArrow(_slot_counts, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()  # at most the slots
+    counts[found["slot"].to_numpy()] = np.minimum(found["n"].to_numpy(), 2**31 - 1)
     first = F.arrow_udf(_prefixes(spark.sparkContext.broadcast(counts), threshold), "array<int>")
     rows = sets.select("node", F.size("shingles").alias("size"), first(F.col("shingles")).alias("first")).join(labels, "node")
-    rows = kept(rows.select("node", "label", "size", F.posexplode("first").alias("at", "shingle")).select("node", "label", "size", (F.col("size") - F.col("at")).alias("rest"), "shingle"), "rarest")
+    rows = base.written(rows.select("node", "label", "size", F.posexplode("first").alias("at", "shingle")).select("node", "label", "size", (F.col("size") - F.col("at")).alias("rest"), "shingle"), "rarest")
     by_label = rows.groupBy("shingle", "label").agg(F.count("*").alias("n"))
     shared = by_label.groupBy("shingle").agg(F.count("*").alias("labels"), F.max(F.struct("n", "label"))["label"].alias("main")).filter("labels > 1")
-    rows = kept(rows.join(shared.select("shingle", "main"), "shingle"), "rarest-shared")
+    rows = base.written(rows.join(shared.select("shingle", "main"), "shingle"), "rarest-shared")
     x, y = rows.filter("label <> main").alias("x"), rows.alias("y")
     enough = F.least("x.rest", "y.rest") >= threshold / (1 + threshold) * (F.col("x.size") + F.col("y.size")) - 1e-9
     met = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.label") != F.col("y.label")) & enough)
@@ -247,52 +265,55 @@ def _labels(rows: DataFrame, settings: Settings) -> DataFrame | None:
     texts = base.written(texts.select("node", "r.row_id", "r.bands"), "texts")
     bands = texts.select("node", F.explode("bands").alias("key"))
     shared = bands.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    members = base.written(bands.join(shared, "key"), "members")
-    if members.isEmpty():
+    members, n_members = base.counted(bands.join(shared, "key"), "members")
+    if not n_members:
         return None
-    tasks = _tasks(members)
-
-    def kept(df: DataFrame, name: str) -> DataFrame:
-        return base.written(df, name).coalesce(tasks)
-
-    company = kept(members.groupBy("node").agg(F.sum("n").alias("company")), "company")
-    members = kept(members.join(company, "node"), "members")
-    wanted = texts.select("node", "row_id").join(company, "node")
-    sets = base.written(rows.select("row_id", "shingles").join(wanted, "row_id").select("node", "shingles"), "shingles")
+    company = base.written(members.groupBy("node").agg(F.sum("n").alias("company")), "company")
+    members = base.written(members.join(company, "node"), "members")
+    wanted = base.written(texts.select("node", "row_id").join(company, "node").select("node", "row_id"), "wanted")
+    # most texts share no band: what moves is about the sets of those that do
+    sets = base.written(_sifted(rows.select("row_id", "shingles"), wanted).join(wanted, "row_id").select("node", "shingles"), "shingles")
+    # dealt out once: all rounds send their pairs to the sets; what an executor loses is read from the table again
+    sets = sets.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "node").persist(StorageLevel.DISK_ONLY)
 
     labels = company.select("node", F.col("node").alias("label"))
     hubs = members.groupBy("key").agg(F.max(F.struct("company", "node"))["node"].alias("pivot"))
-    tried = kept(hubs, "pivots")
+    tried = base.written(hubs, "pivots")
     pairs = members.join(tried, "key").filter("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
+
     def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
         ends = links.join(labels.withColumnsRenamed({"node": "a", "label": "la"}), "a").join(labels.withColumnsRenamed({"node": "b", "label": "lb"}), "b")
         moved = components(ends.select(F.col("la").alias("a"), F.col("lb").alias("b")).filter("a <> b"))
         moved = moved.withColumnsRenamed({"node": "was", "label": "now"})
         labels = labels.join(moved, labels["label"] == moved["was"], "left").select("node", F.coalesce("now", "label").alias("label"))
-        return kept(labels, "labels")
+        return base.written(labels, "labels")
 
     now = members.filter("n > 2")
-    while not (links := kept(_verified(pairs, sets, settings.threshold), "verified")).isEmpty():
+    while True:
+        links, n_links = base.counted(_verified(pairs, sets, settings.threshold), "verified")
+        if not n_links:
+            break
         labels = joined(labels, links)
         # Buckets of more than two texts that are still apart.  Their members outside the largest
         # label meet more pivots, the untried ones with most company inside it and outside it.
         now = members.filter("n > 2").join(labels, "node")
         split = now.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max(F.struct("company", "label"))["label"].alias("main")).filter("low <> high")
-        now = kept(now.join(split.select("key", "main"), "key").withColumn("apart", F.col("label") != F.col("main")), "split")
+        now = base.written(now.join(split.select("key", "main"), "key").withColumn("apart", F.col("label") != F.col("main")), "split")
         fresh = now.join(tried, (now["key"] == tried["key"]) & (now["node"] == tried["pivot"]), "left_anti")
         most = W.partitionBy("key", "apart").orderBy(F.desc("company"), F.desc("node"))
         turn = fresh.withColumn("rank", F.row_number().over(most)).filter(F.col("rank") <= settings.pivots)
-        turn = kept(turn.select("key", F.col("node").alias("pivot"), F.col("label").alias("own")), "pivots")
-        tried = kept(tried.union(turn.select("key", "pivot")), "tried")
+        turn = base.written(turn.select("key", F.col("node").alias("pivot"), F.col("label").alias("own")), "pivots")
+        tried = base.written(tried.union(turn.select("key", "pivot")), "tried")
         open_ = now.filter("apart").select("key", "node", "label")
         pairs = open_.join(turn, "key").filter("label <> own").select(F.least("pivot", "node").alias("a"), F.greatest("pivot", "node").alias("b")).distinct()
     # what shares a split bucket may not have met: all of it does by its rarest shingles
-    left = kept(now.select("node").distinct(), "left")
-    if left.isEmpty():
-        return labels
-    apart = kept(sets.join(left, "node"), "left-shingles")
-    links = kept(_verified(_rare_pairs(apart, labels, settings.threshold, kept), apart, settings.threshold), "verified")
-    return labels if links.isEmpty() else joined(labels, links)
+    left, n_left = base.counted(now.select("node").distinct(), "left")
+    if n_left:
+        apart = base.written(sets.join(left, "node"), "left-shingles")
+        links, n_links = base.counted(_verified(_rare_pairs(apart, labels, settings.threshold), apart, settings.threshold), "verified")
+        labels = joined(labels, links) if n_links else labels
+    sets.unpersist()
+    return labels
 
 
 def _classed(rows: DataFrame, settings: Settings) -> DataFrame:
@@ -314,12 +335,17 @@ def classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """
     rows = _classed(signatures(docs, settings), settings)
     slim = base.written(rows.select("doc_id", "class", "n_shingles"), "classes")
-    heads = slim.groupBy("class").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
+    # written, so that the join has plain exchanges below it and a hot class can be split between tasks
+    heads = base.written(slim.groupBy("class").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size")), "heads")
     return slim.join(heads, "class").select("doc_id", "class_id", "class_size", "n_shingles")
 
 
 def one_of_each(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """The documents without the others of their group: the one of least id stays (null last)."""
+    """The documents without the others of their group: the one of least id stays (null last).
+
+    Of several rows of that id and text one stays; if their other columns differ, it may be any of
+    them.  Null and empty texts, and texts without a word, are groups of their own and all stay.
+    """
     rows = _classed(signatures(docs, settings), settings)
     order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id"), F.col("row_id"), F.col("mark"))
     stay = rows.groupBy("class").agg(F.min(order).alias("s")).select(F.coalesce(F.col("s.doc_id").cast("string"), F.lit("")).alias("_key"), F.col("s.mark").alias("_mark"))
