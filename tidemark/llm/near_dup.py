@@ -162,13 +162,13 @@ SIEVE_BITS = 24
 
 
 def _sieve_words(wanted: DataFrame) -> DataFrame:
-    slot = F.pmod(F.xxhash64("row_id"), F.lit(1 << SIEVE_BITS))
+    slot = F.pmod(F.xxhash64("node"), F.lit(1 << SIEVE_BITS))
     bit = F.expr("shiftleft(1L, cast(slot & 63 AS INT))")
     return wanted.select(slot.alias("slot")).select(F.shiftright("slot", 6).alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
 
 
 def _sifted(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``rows`` without most of those whose row_id is not among ``wanted``; a join sorts out the rest.
+    """``rows`` without most of those whose node is not among ``wanted``; a join sorts out the rest.
 
     One bit for each slot of a hash, so the sieve has one size; the more rows are wanted, the more others
     it lets through, up to all.
@@ -182,7 +182,7 @@ def _sifted(rows: DataFrame, wanted: DataFrame) -> DataFrame:
         slot = slots.to_numpy()
         return pa.array(shared.value[slot >> 6] >> (slot & 63) & 1 == 1)
 
-    return rows.filter(F.arrow_udf(passes, "boolean")(F.pmod(F.xxhash64("row_id"), F.lit(1 << SIEVE_BITS))))
+    return rows.filter(F.arrow_udf(passes, "boolean")(F.pmod(F.xxhash64("node"), F.lit(1 << SIEVE_BITS))))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -258,11 +258,14 @@ def signatures(docs: DataFrame, settings: Settings) -> DataFrame:
 
 
 def _labels(rows: DataFrame, settings: Settings) -> DataFrame | None:
-    """(node, label) of the texts that are linked to a different text; None without any."""
+    """(digest, label) of the texts that are linked to a different text; None without any.
+
+    A text goes by the least row number that has it, half as long as a digest; a label is such a number.
+    """
     spark = rows.sparkSession
     # one row for each different text; a hot group of copies is one row of each task before the shuffle
-    texts = rows.filter("n_shingles > 0").groupBy(F.col("digest").alias("node")).agg(F.min(F.struct("row_id", "bands")).alias("r"))
-    texts = base.written(texts.select("node", "r.row_id", "r.bands"), "texts")
+    texts = rows.filter("n_shingles > 0").groupBy("digest").agg(F.min(F.struct("row_id", "bands")).alias("r"))
+    texts = base.written(texts.select(F.col("r.row_id").alias("node"), "digest", "r.bands"), "texts")
     bands = texts.select("node", F.explode("bands").alias("key"))
     shared = bands.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     members, n_members = base.counted(bands.join(shared, "key"), "members")
@@ -270,11 +273,10 @@ def _labels(rows: DataFrame, settings: Settings) -> DataFrame | None:
         return None
     company = base.written(members.groupBy("node").agg(F.sum("n").alias("company")), "company")
     members = base.written(members.join(company, "node"), "members")
-    wanted = base.written(texts.select("node", "row_id").join(company, "node").select("node", "row_id"), "wanted")
-    # most texts share no band: what moves is about the sets of those that do
-    sets = base.written(_sifted(rows.select("row_id", "shingles"), wanted).join(wanted, "row_id").select("node", "shingles"), "shingles")
-    # dealt out once: all rounds send their pairs to the sets; what an executor loses is read from the table again
-    sets = sets.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "node").persist(StorageLevel.DISK_ONLY)
+    # Most texts share no band: what moves is about the sets of those that do, and they move once, to where
+    # all rounds send their pairs.  What an executor loses is read from the signatures again.
+    sets = _sifted(rows.select(F.col("row_id").alias("node"), "shingles"), company)
+    sets = sets.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "node").join(company.select("node"), "node").persist(StorageLevel.DISK_ONLY)
 
     labels = company.select("node", F.col("node").alias("label"))
     hubs = members.groupBy("key").agg(F.max(F.struct("company", "node"))["node"].alias("pivot"))
@@ -313,17 +315,18 @@ def _labels(rows: DataFrame, settings: Settings) -> DataFrame | None:
         links, n_links = base.counted(_verified(_rare_pairs(apart, labels, settings.threshold), apart, settings.threshold), "verified")
         labels = joined(labels, links) if n_links else labels
     sets.unpersist()
-    return labels
+    return labels.join(texts.select("node", "digest"), "node").select("digest", "label")
 
 
 def _classed(rows: DataFrame, settings: Settings) -> DataFrame:
     """``rows`` with ``class``; a text without words is a class of its own."""
     labels = _labels(rows, settings)
-    alone = F.concat(F.lit("row "), F.col("row_id").cast("string")).cast("binary")
-    if labels is None:
-        return rows.withColumn("class", F.when(F.col("n_shingles") > 0, F.col("digest")).otherwise(alone))
-    joined = rows.join(labels, rows["digest"] == labels["node"], "left")
-    return joined.withColumn("class", F.when(F.col("n_shingles") > 0, F.coalesce("label", "digest")).otherwise(alone)).drop("node", "label")
+    number = lambda c: F.concat(F.lit("row "), F.col(c).cast("string")).cast("binary")
+    of_text = F.col("digest")
+    if labels is not None:
+        rows = rows.join(labels, "digest", "left")
+        of_text = F.coalesce(number("label"), of_text)
+    return rows.withColumn("class", F.when(F.col("n_shingles") > 0, of_text).otherwise(number("row_id")))
 
 
 def classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
