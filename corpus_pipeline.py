@@ -13,12 +13,21 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm import base, decontaminate, mixing, near_dup, quality_classifier, quality_rules
 
 
+def _small_batches(spark: SparkSession) -> None:
+    """Whole texts go to Python workers ``base.TEXTS_PER_BATCH`` at a time, also in the write that follows a stage.
+
+    The setting stays with the session: it bounds buffers and changes no result.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(base.TEXTS_PER_BATCH))
+
+
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go.
 
     A null or empty text has fewer than ten words and goes.  Equal rows share their fate; a null
     language is a language of its own.  Texts are judged whole.
     """
+    _small_batches(spark)
     return quality_rules.kept_documents(docs)
 
 
@@ -28,6 +37,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Without labels of both kinds all score alike, by the share of label 1.  A null or empty text scores that
     share too.  Equal texts share their fate; texts are scored whole.
     """
+    _small_batches(spark)
     model = quality_classifier.learned(docs, base.table(spark, sf_dir, "labels"))
     return quality_classifier.kept_documents(docs, model)
 
@@ -38,6 +48,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     It is the one of least id (a null id last); of rows of the same id and text one stays.  A null
     or empty text, or one without words, is no copy of another.
     """
+    _small_batches(spark)
     return near_dup.one_of_each(docs)
 
 
@@ -46,6 +57,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     A null or empty text has none and stays, as do all documents if the benchmark is empty.
     """
+    _small_batches(spark)
     return decontaminate.decontaminated(docs, base.table(spark, sf_dir, "benchmark"))
 
 

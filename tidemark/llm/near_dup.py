@@ -254,7 +254,8 @@ def signatures(docs: DataFrame, settings: Settings) -> DataFrame:
     """Written: doc_id, mark of the text, row number, digest of the words, bands, distinct shingles."""
     udf = F.arrow_udf(_features(settings), _FEATURES)
     rows = docs.select("doc_id", F.xxhash64("text").alias("mark"), F.monotonically_increasing_id().alias("row_id"), udf(F.col("text")).alias("f"))
-    return base.written(rows.select("doc_id", "mark", "row_id", "f.*"), "signatures")
+    with base.batches_of(docs.sparkSession, base.TEXTS_PER_BATCH):
+        return base.written(rows.select("doc_id", "mark", "row_id", "f.*"), "signatures")
 
 
 def _labels(rows: DataFrame, settings: Settings) -> DataFrame | None:
