@@ -5,7 +5,7 @@ import pyarrow as pa
 import pytest
 
 from tests.llm import small
-from tidemark.llm import bytewords
+from tidemark.llm import base, bytewords
 from tidemark.llm import near_dup as N
 
 
@@ -107,3 +107,17 @@ def test_empty_table_and_rows_of_one_id(spark):
     assert N.classes(docs.limit(0)).count() == 0 and N.one_of_each(docs.limit(0)).count() == 0
     same = docs.union(docs).union(docs.selectExpr("cast(null as long) doc_id", "'other words' text", "lang", "source", "n_chars"))
     assert N.classes(same).count() == 3 and N.one_of_each(same).count() == 2
+
+
+@pytest.mark.parametrize("own, inside", [("10000", "1000"), ("300", "300"), ("0", "1000")])
+def test_batches_are_bounded_only_inside(spark, own, inside):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, own)
+        with pytest.raises(ValueError), base.batches_of(spark, 1000):
+            assert spark.conf.get(key) == inside
+            raise ValueError
+        assert spark.conf.get(key) == own
+    finally:
+        spark.conf.set(key, before)
