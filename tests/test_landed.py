@@ -112,3 +112,39 @@ def test_counts_of_a_stopped_run_are_not_made_up(spark):
     counts.add({"staged": 3})
     counts.at("read", spark.range(5)).write.format("noop").mode("overwrite").save()
     assert [(r.stage, r.rows) for r in counts.rows(spark).orderBy("step").collect()] == [("staged", 3), ("read", 5)]
+
+
+def test_a_landing_starts_no_process_per_file_and_repeats_safely(spark, tmp_path):
+    docs = {"1_20260730T140512Z.json": "[1]", "a=b%c_20260730T140512Z.json": "line 1\nline 2"}
+    for _ in range(2):
+        folder = landed(spark, tmp_path / "x", docs)
+    files = [p.relative_to(tmp_path / "x").as_posix() for p in (tmp_path / "x").rglob("*") if p.is_file()]
+    assert len(files) == 2 and not [f for f in files if f.endswith(".crc")]
+    assert sorted(f.split("/")[0] for f in files) == ["document=1_20260730T140512Z.json", "document=a%3Db%25c_20260730T140512Z.json"]
+    assert sorted(r.value for r in documents.read_documents(spark, folder).collect()) == ["[1]\n", "line 1\nline 2\n"]
+
+
+def test_landed_names_are_those_of_a_partitioned_write(spark, tmp_path):
+    names = ["".join(map(chr, range(1, 128))).replace("/", "") + "/.json", "é ü.json", "", None]
+    rows = spark.createDataFrame([("v", n) for n in names] + [(None, "empty.json")], "value string, file_name string")
+    documents.land_documents(rows, str(tmp_path / "x"))
+    rows.withColumnRenamed("file_name", "document").write.partitionBy("document").text(str(tmp_path / "y"))
+
+    def texts(folder):
+        return sorted((p.parent.name, p.read_text()) for p in folder.rglob("*.txt"))
+
+    assert {n for n, _ in texts(tmp_path / "x")} == {n for n, _ in texts(tmp_path / "y")}
+    assert set(texts(tmp_path / "x")) == {(n, "\n" if n == "document=empty.json" else "v\n") for n, _ in texts(tmp_path / "y")}
+
+
+def test_listing_takes_a_few_tasks_however_many_documents(spark, tmp_path):
+    folder = landed(spark, tmp_path / "x", {f"{k}_{STAMP}.json": {} for k in range(60)})
+    spark.sparkContext.setJobGroup("listing", "")
+    try:
+        docs = documents.read_documents(spark, folder)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    stages = [s for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    assert stages and max(tracker.getStageInfo(s).numTasks for s in stages) <= 4 * spark.sparkContext.defaultParallelism
+    assert docs.count() == 60

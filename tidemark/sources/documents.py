@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import os
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,9 +56,48 @@ def land_documents(docs: DataFrame, folder: str) -> None:
     """Write (value, file_name) rows into a landing folder, each as a file of its own.
 
     Names must be unique.  A document lies in ``document=<file_name>/``, from where all readers
-    of this module take its name.  Tasks write the files; nothing is renamed or gathered.
+    of this module take its name.  Tasks write the files; nothing is gathered.  On a local or
+    mounted file system they write them without Hadoop, which starts a ``chmod`` process for each
+    new file, checksum and folder.  There a file is put in place whole under a name that its text
+    gives, so a repeated task, or a landing repeated after a failure, leaves each document once.
     """
-    docs.select("value", F.col("file_name").alias(LANDED)).write.mode("append").partitionBy(LANDED).text(folder)
+    named = docs.select("value", F.col("file_name").alias(LANDED))
+    path = _mounted(docs.sparkSession, folder)
+    if path is None:
+        named.write.mode("append").partitionBy(LANDED).text(folder)
+    else:
+        os.makedirs(path, exist_ok=True)
+        named.foreachPartition(_lander(path))
+
+
+def _mounted(spark: SparkSession, folder: str) -> str | None:
+    """The path of a folder on a local or mounted file system, else None."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.makeQualified(path).toUri().getPath() if fs.getUri().getScheme() == "file" else None
+
+
+def _lander(path: str) -> Callable[[Iterable[Row]], None]:
+    """Writes the documents of a partition as ``partitionBy(LANDED).text`` does; a closure, so workers need not import this module."""
+    landed, special = LANDED, r"[\x01-\x1f\x7f\"#%'*/:=?\\{\[\]^]"
+
+    def land(rows):
+        import hashlib
+        import os
+        import re
+        import uuid
+
+        for value, name in rows:
+            name = re.sub(special, lambda m: f"%{ord(m[0]):02X}", name) if name else "__HIVE_DEFAULT_PARTITION__"
+            text = ("" if value is None else value).encode() + b"\n"
+            target = f"{path}/{landed}={name}"
+            os.makedirs(target, exist_ok=True)
+            aside = f"{target}/.{uuid.uuid4().hex}"
+            with open(aside, "wb") as file:
+                file.write(text)
+            os.replace(aside, f"{target}/part-{hashlib.sha256(text).hexdigest()}.txt")
+
+    return land
 
 
 def _file_name() -> Column:
@@ -64,10 +105,23 @@ def _file_name() -> Column:
     return F.when(folder != "", folder).otherwise(F.col("_metadata.file_name"))
 
 
+@contextmanager
+def _listing_tasks() -> Iterator[None]:
+    """A few listing tasks per core inside; by default Spark starts one per folder, up to 10,000, and a landed document has a folder."""
+    spark, key = SparkSession.active(), "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before), 4 * spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _files(reader, folder: str | Sequence[str]) -> DataFrame:
     """(value, file_name, path) of the documents below ``folder``; one scan, small files packed together."""
     # wholetext as an argument: as an option it is set back by the method's own default
-    raw = reader.text(folder, wholetext=True, recursiveFileLookup=True, pathGlobFilter="{*.json,part-*.txt}")
+    with _listing_tasks():
+        raw = reader.text(folder, wholetext=True, recursiveFileLookup=True, pathGlobFilter="{*.json,part-*.txt}")
     return raw.select("value", _file_name().alias("file_name"), F.col("_metadata.file_path").alias("path"))
 
 
