@@ -1,11 +1,13 @@
 """Documents to rows: every edge the payloads show."""
 
+import json
 from decimal import Decimal as D
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.fixtures import STAMP, approach, cme, land, weather
+from tidemark.catalogue import feeds as catalogue_feeds
 from tidemark.functions import scalars
 from tidemark.operators import flatten
 from tidemark.sources.documents import read_documents
@@ -207,3 +209,25 @@ def test_fetch_time_bounds_prune_files(spark, tmp_path):
     land(tmp_path, "1_20260801T000000Z.json", "not even json")
     docs = read_documents(spark, str(tmp_path), fetched_to=F.lit("2026-07-31 00:00:00").cast("timestamp"))
     assert flatten.weather_rows(docs).count() == 1
+
+
+def test_documents_of_rows_are_written_where_they_are_parsed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(catalogue_feeds, "DOCUMENTS_PER_TASK", 10, raising=False)
+    rows = spark.range(200).selectExpr(
+        "id AS l_orderkey", "id AS l_partkey", "id % 5 AS l_suppkey", "cast(id % 7 + 1 AS INT) AS l_linenumber", "cast(id % 50 AS DOUBLE) AS l_quantity",
+        "timestamp_ntz'2024-02-27 10:00:00' AS l_shipdate",
+    )
+    rows.write.parquet(f"{tmp_path}/lineitem.parquet")
+    docs = catalogue_feeds.weather_documents(spark, str(tmp_path))
+    assert docs.rdd.getNumPartitions() == 20 and docs.count() == 200
+    above = docs._jdf.queryExecution().executedPlan().toString().partition("Exchange")[0]
+    assert '"daily"' in above  # rows move, not documents
+    assert json.loads(docs.where("file_name LIKE '0_0-%'").first().value)["daily"]["time"] == ["2024-02-27", "2024-02-28", "2024-02-29", "2024-02-29"]
+
+
+def test_text_that_starts_as_no_number_is_not_cast(spark):
+    texts = ["n/a", "high", "nan", " -Infinity ", "+inf", "INF\n", "7", "\t-1.5e1 ", "1d", "0x1p3", "0x1p3d", "infd", ":1", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", scalars.number("t").alias("n"))
+    inf = float("inf")
+    assert [str(r.n) for r in df.collect()] == [str(v) for v in (None, None, float("nan"), -inf, inf, inf, 7.0, -15.0, None, 8.0, None, None, None, None, None)]
+    assert " < :)" in df._jdf.queryExecution().analyzed().toString()

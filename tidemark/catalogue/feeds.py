@@ -23,12 +23,18 @@ from tidemark.sources import documents, flatfile
 STAMP = "date_format({0}, \"yyyyMMdd'T'HHmmss'Z'\")"
 
 
-def named(df: DataFrame, file_name: str, value: str) -> DataFrame:
+#: Documents of one task.  What a task sorts grows with its documents, so there are more tasks, not larger ones.
+DOCUMENTS_PER_TASK = 100_000
+
+
+def named(df: DataFrame, file_name: str, value: str, *keys: str) -> DataFrame:
     """(value, file_name) plus the context of the name, from SQL expressions.
 
-    Dealt out by name, as the files of a landing folder are, however few row groups the table has.
+    Dealt out by the keys that make up the name, as the files of a landing folder are by theirs, however
+    few row groups the table has.  The rows move, and the documents are written where they are parsed.
     """
-    return documents.name_context(df.selectExpr(f"{value} AS value", f"{file_name} AS file_name").repartition("file_name"))
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // DOCUMENTS_PER_TASK))
+    return documents.name_context(df.repartition(tasks, *keys).selectExpr(f"{value} AS value", f"{file_name} AS file_name"))
 
 
 # --- parallel arrays --------------------------------------------------------------
@@ -36,7 +42,7 @@ def named(df: DataFrame, file_name: str, value: str) -> DataFrame:
 
 def weather_documents(spark, sf):
     """One document per lineitem: four days from the ship date on, the third given twice."""
-    day = "date_format(l_shipdate + INTERVAL {0} DAY, 'yyyy-MM-dd')"
+    day = "cast(date_add(cast(l_shipdate AS DATE), {0}) AS STRING)"
     q, n = "cast(l_quantity AS INT)", "l_linenumber"
     value = (
         "concat('{\"daily\":{\"time\":[\"', " + day.format(0) + ", '\",\"', " + day.format(1) + ", '\",\"', "
@@ -46,7 +52,7 @@ def weather_documents(spark, sf):
         f"',\"weather_code\":[', {n}, ',\"', {n} + 50, '\",null]}}}}')"
     )
     name = "concat(l_suppkey, '_', l_orderkey, '-', l_linenumber, '-', l_partkey, '_', " + STAMP.format("l_shipdate") + ", '.json')"
-    return named(table(spark, sf, "lineitem"), name, value)
+    return named(table(spark, sf, "lineitem"), name, value, "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 
 def flatten_parallel_arrays(spark, sf):
@@ -111,7 +117,7 @@ def ejection_documents(spark, sf):
     third = event(f"'\"', {k}, '-A\"'", f"if({k} % 3 = 0, '[]', concat('[{{\"speed\":', {p}, '}},{{\"speed\":0}}]'))",
                   f"concat(',\"sourceLocation\":\"N', {k} % 90, '\",\"linkedEvents\":[{{\"activityID\":\"', {k}, '-B\"}}]')")
     value = f"concat('[', {first}, ',', {second}, ',', {third}, ']')"
-    return named(table(spark, sf, "orders"), f"concat('CME_', {k}, '_', {STAMP.format('o_orderdate')}, '.json')", value)
+    return named(table(spark, sf, "orders"), f"concat('CME_', {k}, '_', {STAMP.format('o_orderdate')}, '.json')", value, "o_orderkey")
 
 
 def flatten_event_list(spark, sf):
@@ -134,7 +140,7 @@ def storm_documents(spark, sf):
         "if(l_linenumber = 7, 'null', concat('[{\"kpIndex\":', l_linenumber, '.33},{\"kpIndex\":null},{\"kpIndex\":\"', cast(l_quantity AS INT) % 10, '\"},{\"kpIndex\":\"high\"},{}]')), '}]')"
     )
     name = "concat('gst_', l_orderkey, '-', l_linenumber, '-', l_partkey, '_', " + STAMP.format("l_shipdate") + ", '.json')"
-    return named(table(spark, sf, "lineitem"), name, value)
+    return named(table(spark, sf, "lineitem"), name, value, "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 
 def array_peak(spark, sf):
@@ -161,7 +167,7 @@ def mixed_documents(spark, sf):
       WHEN 'FLR' THEN concat('[{{"flrID":', if(event_type = 'error', 'null', concat('"', event_id, '"')), ',"beginTime":"', if(user_id % 2 = 0, '', {time}), '","peakTime":"2024-02-01T00:00:30Z","classType":"', {letter}, user_id % 10, '.', user_id % 7, '","linkedEvents":[{{"activityID":"', event_id - 1, '"}}]}}]')
     END"""
     name = f"concat({kind}, '_', event_id, '_', {STAMP.format('ts')}, '.json')"
-    return named(table(spark, sf, "events"), name, value)
+    return named(table(spark, sf, "events"), name, value, "event_id")
 
 
 def event_union(spark, sf):
@@ -208,7 +214,7 @@ def approach_documents(spark, sf):
     second = item(1, "if(o_orderkey % 2 = 0, 'far', '10')", hazard, diameter)
     value = f"concat('{{\"element_count\":2,\"near_earth_objects\":{{', {first}, ',', {second}, '}}}}')"
     name = f"concat({day.format(0)}, '_', lpad(o_orderkey, 15, '0'), '_', {STAMP.format('o_orderdate')}, '.json')"
-    return named(table(spark, sf, "orders"), name, value)
+    return named(table(spark, sf, "orders"), name, value, "o_orderkey")
 
 
 def flatten_keyed_map(spark, sf):
