@@ -148,3 +148,17 @@ def test_listing_takes_a_few_tasks_however_many_documents(spark, tmp_path):
     stages = [s for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
     assert stages and max(tracker.getStageInfo(s).numTasks for s in stages) <= 4 * spark.sparkContext.defaultParallelism
     assert docs.count() == 60
+
+
+def test_many_documents_are_read_by_a_few_tasks_per_core(spark, tmp_path):
+    cores, key = spark.sparkContext.defaultParallelism, "spark.sql.files.maxPartitionBytes"
+    names = [f"CME_part{k}_{STAMP}.json" for k in range(10 * cores)]
+    folder = landed(spark, tmp_path / "x", {n: [cme(n, [])] for n in names})
+    before = spark.conf.get(key)
+    spark.conf.set(key, "1")  # a file per task, as 32 are where files are many
+    try:
+        docs = documents.read_documents(spark, folder)
+        assert docs.rdd.getNumPartitions() == 8 * cores
+        assert sorted(r.event_id for r in flatten.event_rows(docs).collect()) == sorted(names)
+    finally:
+        spark.conf.set(key, before)
