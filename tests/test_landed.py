@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tests.fixtures import STAMP, approach, cme, land, weather
 from tidemark.operators import constraints, flatten
 from tidemark.plans import feeds
-from tidemark.sources import documents
+from tidemark.sources import documents, store
 from tidemark.streaming import ingest
 
 T1, T2 = "2026-08-01 00:00:00", "2026-08-02 00:00:00"
@@ -162,3 +162,19 @@ def test_many_documents_are_read_by_a_few_tasks_per_core(spark, tmp_path):
         assert sorted(r.event_id for r in flatten.event_rows(docs).collect()) == sorted(names)
     finally:
         spark.conf.set(key, before)
+
+
+def test_the_derived_dimension_is_computed_once(warehouse, spark, tmp_path, monkeypatch):
+    plans, merge = [], store.HistoryTable.merge
+
+    def seen(self, incoming, *args, **named):
+        plans.append(incoming._jdf.queryExecution().analyzed().toString())
+        return merge(self, incoming, *args, **named)
+
+    monkeypatch.setattr(store.HistoryTable, "merge", seen)
+    for k, (day, at) in enumerate([("2026-07-29", T1), ("2026-07-30", T2)]):
+        rocks = [approach("1", day, 5, name=f"A{k}"), approach(str(k + 2), day, 6, name="B")]
+        feeds.stage_approaches(warehouse, land(tmp_path / f"{k}", f"{day}_{STAMP}.json", {"near_earth_objects": {day: rocks}}))
+        feeds.derive_asteroids(warehouse, at)
+    assert len(plans) == 2 and not [p for p in plans if "Window" in p or "Join" in p]  # the merge reads it twice
+    assert sorted((r.asteroid_id, r.name) for r in warehouse.asteroids.current().collect()) == [("1", "A1"), ("2", "B"), ("3", "B")]

@@ -15,9 +15,10 @@ from tidemark import schemas
 from tidemark.functions import fixed_values as fixed
 from tidemark.functions.scalars import at, is_positive, label, value_range, with_lineage
 from tidemark.operators import audit, constraints, flatten, joins, merge
+from tidemark.session import written
 from tidemark.sources.documents import read_documents
 from tidemark.sources.seed import seed_locations as seed_location_rows
-from tidemark.sources.store import HistoryTable, Log, Snapshot
+from tidemark.sources.store import HistoryTable, Log, Snapshot, already_applied
 
 
 @dataclass
@@ -96,7 +97,8 @@ def derive_asteroids(wh: Warehouse, as_of, conflict: str = "latest", batch=None)
     """Version the descriptive attributes found in the staged approach feed.
 
     Only asteroids staged since the last derivation can have changed; the others are
-    filtered out before anything shuffles.
+    filtered out before anything shuffles.  The attributes are written once, as the merge
+    reads its input more than once.
     """
     staged, marks = wh.staged_approaches, {"staged": wh.staged_approaches.version}
     since = wh.asteroids.manifest()["marks"].get("staged", 0)
@@ -110,6 +112,8 @@ def derive_asteroids(wh: Warehouse, as_of, conflict: str = "latest", batch=None)
         ["close_approach_date"],
         conflict,
     )
+    if not already_applied(wh.asteroids.manifest(), batch):
+        attributes = written(attributes, "attributes")
     return wh.asteroids.merge(attributes, as_of, batch, marks)
 
 
