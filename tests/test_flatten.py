@@ -231,3 +231,23 @@ def test_text_that_starts_as_no_number_is_not_cast(spark):
     inf = float("inf")
     assert [str(r.n) for r in df.collect()] == [str(v) for v in (None, None, float("nan"), -inf, inf, inf, 7.0, -15.0, None, 8.0, None, None, None, None, None)]
     assert " < :)" in df._jdf.queryExecution().analyzed().toString()
+
+
+def test_history_by_shares_of_locations_is_the_whole_history(spark, tmp_path, monkeypatch):
+    rows = spark.range(300).selectExpr(
+        "if(id % 50 = 1, NULL, id) AS l_orderkey", "id AS l_partkey", "if(id % 60 = 7, NULL, id % 11) AS l_suppkey", "cast(id % 7 + 1 AS INT) AS l_linenumber",
+        "cast(id % 50 AS DOUBLE) AS l_quantity", "timestampadd(DAY, cast(id % 13 AS INT), timestamp_ntz'2024-02-20 10:00:00') AS l_shipdate",
+    )
+    rows.write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(11).selectExpr("id AS s_suppkey", "concat('S', id) AS s_name").write.parquet(f"{tmp_path}/supplier.parquet")
+    folder, steps = str(tmp_path), []
+    whole = sorted(map(str, catalogue_feeds.weather_history(spark, folder).collect()))
+    staged = flatten.weather_rows(catalogue_feeds.weather_documents(spark, folder)).collect()
+
+    written = catalogue_feeds.written
+    monkeypatch.setattr(catalogue_feeds, "written", lambda df, name: steps.append(written(df, name)) or steps[-1])
+    monkeypatch.setattr(catalogue_feeds, "DOCUMENTS_PER_SHARE", 70, raising=False)
+    history = catalogue_feeds.weather_history(spark, folder)
+    assert len(steps) == 5 and all(step.count() < len(staged) for step in steps)
+    assert sorted(str(r) for step in steps for r in step.collect()) == sorted(map(str, staged))  # no key in two shares, nor a row in none
+    assert whole and sorted(map(str, history.collect())) == whole

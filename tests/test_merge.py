@@ -1,10 +1,13 @@
 """Merge scenarios and properties, for both merge plans."""
 
 import random
+import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark import session
 from tidemark.operators import audit, constraints, joins, merge
 from tidemark.operators.constraints import ConstraintError, Rule, not_null
 
@@ -249,3 +252,39 @@ def test_unlinked_rows_are_dealt_by_the_salt(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "hashpartitioning(link" in plan and "_salt" in plan.split("hashpartitioning(link")[1].split(")")[0]
+
+
+def test_a_merge_moves_each_key_once(spark, broadcasts):
+    first = do(None, batch(spark, (1, "x", "1", "old"), (None, "y", "2", "old")), T1, broadcasts)
+    step = do(first, batch(spark, (1, "z", "1", "new"), (None, "y", "2", "new"), (3, "w", None, "new")), T2, broadcasts)
+    sides = re.findall(r"struct\((\w+)[^\n]* AS _(?:old|new)#", step._jdf.queryExecution().executedPlan().toString())
+    assert sides and set(sides) == {"a"}
+    assert seen(step) == sorted(
+        [
+            (1, "x", 1.0, "old", T1, T2), (1, "z", 1.0, "new", T2, "None"), (3, "w", None, "new", T2, "None"),
+            (None, "y", 2.0, "old", T1, "None"), (None, "y", 2.0, "new", T2, "None"),
+        ],
+        key=str,
+    )
+
+
+def test_a_merge_of_keys_alone(spark, broadcasts):
+    """No column is left beside the key, and the key itself may be tracked."""
+    first = merge.scd2_merge(None, spark.range(0, 3), ["id"], [], at(T1))
+    again = merge.scd2_merge(first, spark.range(1, 5), ["id"], ["id"], at(T2))
+    assert sorted((r.id, str(r.open_date), r.close_date) for r in again.collect()) == [(i, T1 if i < 3 else T2, None) for i in range(5)]
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark):
+    def shuffles():
+        blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks().mkString(" ")
+        return set(re.findall(r"shuffle_(\d+)_", blocks))
+
+    before, setting = shuffles(), spark.conf.get(session.RELEASE)
+    table = session.written(spark.range(1000).selectExpr("id % 7 AS k", "id AS v").repartition(5, "k").groupBy("v").count(), "moved")
+    until = time.time() + 20
+    while shuffles() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffles() - before
+    assert spark.conf.get(session.RELEASE) == setting
+    assert table.count() == 1000

@@ -6,7 +6,7 @@ those of the feeds.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import schemas
@@ -17,7 +17,7 @@ from tidemark.operators import flatten, merge
 from tidemark.operators.dedupe import keep_last
 from tidemark.plans import dashboards
 from tidemark.plans.feeds import weather_facts
-from tidemark.session import fresh_folder, written
+from tidemark.session import fresh_folder, written, written_in_turn
 from tidemark.sources import documents, flatfile
 
 STAMP = "date_format({0}, \"yyyyMMdd'T'HHmmss'Z'\")"
@@ -40,8 +40,24 @@ def named(df: DataFrame, file_name: str, value: str, *keys: str) -> DataFrame:
 # --- parallel arrays --------------------------------------------------------------
 
 
-def weather_documents(spark, sf):
-    """One document per lineitem: four days from the ship date on, the third given twice."""
+#: Documents that are staged and merged at once; about 200 bytes each are on disk while their rows move.
+DOCUMENTS_PER_SHARE = 30_000_000
+
+
+def shares(spark, sf) -> list[Column]:
+    """Conditions on lineitem that share out the documents by their location, whole locations each.
+
+    A document's location is the supplier in its name; those without a name have none.  The names are not
+    written for it, as each share looks at all rows of the table.
+    """
+    number = max(1, -(-table(spark, sf, "lineitem").count() // DOCUMENTS_PER_SHARE))
+    has_name = " AND ".join(f"{c} IS NOT NULL" for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate"))
+    share = F.pmod(F.xxhash64(F.expr(f"if({has_name}, l_suppkey, NULL)")), F.lit(number))
+    return [share == i for i in range(number)]
+
+
+def weather_documents(spark, sf, share: Column | None = None):
+    """One document per lineitem (of a share): four days from the ship date on, the third given twice."""
     day = "cast(date_add(cast(l_shipdate AS DATE), {0}) AS STRING)"
     q, n = "cast(l_quantity AS INT)", "l_linenumber"
     value = (
@@ -52,7 +68,8 @@ def weather_documents(spark, sf):
         f"',\"weather_code\":[', {n}, ',\"', {n} + 50, '\",null]}}}}')"
     )
     name = "concat(l_suppkey, '_', l_orderkey, '-', l_linenumber, '-', l_partkey, '_', " + STAMP.format("l_shipdate") + ", '.json')"
-    return named(table(spark, sf, "lineitem"), name, value, "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    lines = table(spark, sf, "lineitem")
+    return named(lines if share is None else lines.where(share), name, value, "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 
 def flatten_parallel_arrays(spark, sf):
@@ -423,10 +440,20 @@ WHERE r = 1
 def weather_history(spark, sf) -> DataFrame:
     """Documents -> staged rows -> facts under their location key -> versions.
 
-    Every third location already holds a dry reading for its days, which the batch closes.
+    Every third location already holds a dry reading for its days, which the batch closes.  Days and versions
+    of a location meet nothing of another, so many documents are staged and merged one share of the locations
+    after the other, and the files that rows move by do not grow with all documents.
     """
+    of_shares = shares(spark, sf)
+    if len(of_shares) == 1:
+        return share_history(spark, sf)
+    return written_in_turn((share_history(spark, sf, share) for share in of_shares), "history")
+
+
+def share_history(spark, sf, share: Column | None = None) -> DataFrame:
+    """The history of the locations of one share, or of all."""
     # staged once: the rows are both the earlier state and the batch, and unique on the key
-    staged = written(flatten.weather_rows(weather_documents(spark, sf)), "staged")
+    staged = written(flatten.weather_rows(weather_documents(spark, sf, share)), "staged")
     facts = weather_facts(staged, locations(spark, sf), "run-1")
     earlier = facts.where("location_key % 3 = 0 AND precipitation_mm IS NOT NULL").withColumns(
         {"precipitation_mm": F.lit(0).cast("decimal(6,2)"), "is_rain_day": F.lit(False), "pipeline_run_id": F.lit("run-0")}

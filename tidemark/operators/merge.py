@@ -93,14 +93,22 @@ def _closing_time(open_date: Column, t: Column, kind: T.DataType) -> Column:
 
 def _merge_outer(current_rows, incoming, keys, tracked, t, surrogate) -> DataFrame:
     columns = current_rows.columns
-    old = current_rows.select(*[F.col(k).alias(f"_o_{k}") for k in keys], F.struct(*columns).alias("_old"))
-    new = incoming.select(*[F.col(k).alias(f"_n_{k}") for k in keys], F.struct(*incoming.columns).alias("_new"))
+
+    def side(df: DataFrame, mark: str, name: str) -> DataFrame:
+        """Keys and, beside them, a struct of all else: every row moves, so no value moves twice."""
+        return df.select(*[F.col(k).alias(f"{mark}{k}") for k in keys], F.struct(*[c for c in df.columns if c not in keys]).alias(name))
+
+    old, new = side(current_rows, "_o_", "_old"), side(incoming, "_n_", "_new")
     on = [F.col(f"_o_{k}") == F.col(f"_n_{k}") for k in keys]
     both = old.join(new, on, "full_outer")
 
     is_old, is_new = F.col("_old").isNotNull(), F.col("_new").isNotNull()
+
+    def value_of(mark: str, name: str, column: str) -> Column:
+        return F.col(f"{mark}{column}") if column in keys else F.col(f"{name}.{column}")
+
     changed = is_old & is_new & differs(
-        [F.col(f"_old.{c}") for c in tracked], [F.col(f"_new.{c}") for c in tracked]
+        [value_of("_o_", "_old", c) for c in tracked], [value_of("_n_", "_new", c) for c in tracked]
     )
     schema = {f.name: f.dataType for f in current_rows.schema.fields}
 
@@ -113,11 +121,11 @@ def _merge_outer(current_rows, incoming, keys, tracked, t, surrogate) -> DataFra
                 elif name in ("close_date", surrogate):
                     value = F.lit(None)
                 else:
-                    value = F.col(f"_new.{name}")
+                    value = value_of("_n_", "_new", name)
             elif state == CLOSED and name == "close_date":
                 value = _closing_time(F.col("_old.open_date"), t, schema["open_date"])
             else:
-                value = F.col(f"_old.{name}")
+                value = value_of("_o_", "_old", name)
             fields.append(value.cast(schema[name]).alias(name))
         return F.struct(*fields, F.lit(state).alias(STATE))
 
